@@ -97,6 +97,16 @@ def rating_payload(line: Column) -> Column:
     return F.when(line.contains(RATING_PREFIX), F.nullif(F.trim(after), F.lit("")))
 
 
+def exact_mean_product(sim: Column, rating: Column) -> Column:
+    """Aggregate: mean of sim * rating, summed in whole units of 1e-9 and 1/100.
+
+    Similarities sit on that grid and ratings have two decimals, so the sum is
+    exact and the same in any order.
+    """
+    units = F.floor(sim * 1e9 + 0.5).cast("bigint") * F.floor(rating * 100 + 0.5).cast("bigint")
+    return F.sum(units) / (F.count("*") * F.lit(1e11))
+
+
 def stream_score(mean_weighted: Column, high: Column, low: Column) -> Column:
     one = F.lit(1)
-    return mean_weighted + F.log10(F.greatest(one, high)) - F.log10(F.greatest(one, low))
+    return mean_weighted + (F.log10(F.greatest(one, high)) - F.log10(F.greatest(one, low)))

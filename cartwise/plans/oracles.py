@@ -89,8 +89,10 @@ def _recents(source: str, n: int) -> str:
 
 SCORES = """scored AS (
   SELECT c."userId", c.candidate AS "productId",
-         floor((avg(s.score * r.score) + log10(greatest(1, count(*) FILTER (r.score > 3)))
-                - log10(greatest(1, count(*) FILTER (r.score <= 3)))) * 1e9 + 0.5) / 1e9 AS score
+         floor((sum(CAST(floor(s.score * 1e9 + 0.5) AS BIGINT) * CAST(floor(r.score * 100 + 0.5) AS BIGINT))
+                  / (count(*) * 1e11)
+                + (log10(greatest(1, count(*) FILTER (r.score > 3)))
+                   - log10(greatest(1, count(*) FILTER (r.score <= 3))))) * 1e9 + 0.5) / 1e9 AS score
   FROM cands c JOIN recents r ON r."userId" = c."userId"
   JOIN sim s ON s.p1 = c.candidate AND s.p2 = r."productId" GROUP BY 1, 2),
 live AS (
