@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwise.functions.columns import cooccurrence_norm
 from cartwise.operators.pairs import CHUNK, mirror, pairs_within
 from cartwise.operators.ranking import top_k
+from cartwise.operators.vectors import PAIR_SCHEMA, matches
+
+# The kernel travels inside the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# From how many ratings a user counts as heavy, how many such users at most, and
+# how many products make a block.
+HEAVY = 20_000
+MAX_HEAVY = 4096
+BLOCK_ROWS = 1024
 
 
 def counted_ratings(ratings: DataFrame, distinct_users: bool = False) -> DataFrame:
@@ -19,26 +34,34 @@ def counted_ratings(ratings: DataFrame, distinct_users: bool = False) -> DataFra
     return counted.withColumn("n", F.least("n", F.lit(1))) if distinct_users else counted
 
 
-def _co_rated(ratings: DataFrame, distinct_users: bool, chunk: int) -> DataFrame:
-    """(a, b) per co-rating user: structs {id, n, total} with a.id < b.id."""
+def basket(ratings: DataFrame, distinct_users: bool = False) -> DataFrame:
+    """(userId, productId, n, total): counted ratings with the product's number of ratings.
+
+    Totals travel with the items: joining them to the pairs would shuffle the
+    far larger pair relation twice more.
+    """
     counted = counted_ratings(ratings, distinct_users)
     totals = counted.groupBy("productId").agg(F.sum("n").alias("total"))
-    # Reads n, as the other uses of ``counted`` do, so that all share one exchange.
-    sizes = counted.groupBy("userId").agg(F.sum(F.least("n", F.lit(1))).alias("_size"))
-    # Totals travel with the items: joining them to the pairs would shuffle the
-    # far larger pair relation twice more.
-    return pairs_within(
-        counted.join(totals, "productId"), "userId", "productId", ["n", "total"], chunk, sizes
-    )
+    return counted.join(totals, "productId")
+
+
+def _sizes(ratings: DataFrame, distinct_users: bool) -> DataFrame:
+    """(userId, _size): products per user. Reads n, as the other uses of the counted
+    ratings do, so that all share one exchange."""
+    counted = counted_ratings(ratings, distinct_users)
+    return counted.groupBy("userId").agg(F.sum(F.least("n", F.lit(1))).alias("_size"))
 
 
 def cooccurrence(ratings: DataFrame, distinct_users: bool = False, chunk: int = CHUNK) -> DataFrame:
     """(p1, p2, cocount, count1, count2) for every co-rated pair with p1 < p2.
 
     The relation is symmetric; ``mirror`` gives the other half. Self-pairs are
-    left out, as every list drops them.
+    left out, as every list drops them. The whole relation is the answer here;
+    ``item_cf`` does not write it out for heavy users.
     """
-    pairs = _co_rated(ratings, distinct_users, chunk)
+    pairs = pairs_within(
+        basket(ratings, distinct_users), "userId", "productId", ["n", "total"], chunk, _sizes(ratings, distinct_users)
+    )
     return pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(
         F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
         F.max("a.total").alias("count1"),
@@ -46,15 +69,123 @@ def cooccurrence(ratings: DataFrame, distinct_users: bool = False, chunk: int =
     )
 
 
-def item_cf(ratings: DataFrame, k: int = 10, distinct_users: bool = False, chunk: int = CHUNK) -> DataFrame:
-    """(productId, rec_productId, score, rank): the k most similar products of each product."""
-    pairs = _co_rated(ratings, distinct_users, chunk)
-    sim = (
-        pairs.groupBy(F.col("a.id").alias("productId"), F.col("b.id").alias("rec_productId"))
-        .agg(
-            F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
-            F.max(cooccurrence_norm(F.col("a.total"), F.col("b.total"))).alias("norm"),
+def _summed(pairs: DataFrame) -> DataFrame:
+    """(p1, p2, cocount, norm), added up map-side before the shuffle."""
+    return pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(
+        F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
+        F.max(cooccurrence_norm(F.col("a.total"), F.col("b.total"))).alias("norm"),
+    )
+
+
+def _both_ways(summed: DataFrame) -> DataFrame:
+    score = (F.col("cocount") / F.col("norm")).alias("score")
+    return mirror(summed.select("p1", "p2", score)).toDF("productId", "rec_productId", "score")
+
+
+def heavy_users(ratings: DataFrame, over: int = HEAVY, at_most: int = MAX_HEAVY) -> list[int]:
+    """The users with more than ``over`` ratings, the heaviest ``at_most`` of them.
+
+    A count with map-side combine over one column. Whoever is left out holds at
+    most one part in ``at_most`` of the ratings.
+    """
+    counts = ratings.groupBy("userId").agg(F.count("*").alias("n")).filter(F.col("n") > over)
+    return [r["userId"] for r in counts.orderBy(F.desc("n"), "userId").limit(at_most).collect()]
+
+
+def item_cf(
+    ratings: DataFrame, k: int = 10, distinct_users: bool = False, chunk: int = CHUNK,
+    heavy: int = HEAVY, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """(productId, rec_productId, score, rank): the k most similar products of each product.
+
+    The pairs of ordinary users are summed as rows. Users with more than
+    ``heavy`` ratings would give pairs by the square of that; theirs are summed
+    as matrix products over blocks of products, which hand on k rows per product
+    and block. Both ways are exact.
+    """
+    rows, sizes = basket(ratings, distinct_users), _sizes(ratings, distinct_users)
+    items = ["n", "total"]
+    users = heavy_users(ratings, heavy)
+    if not users:
+        pairs = pairs_within(rows, "userId", "productId", items, chunk, sizes)
+        return top_k(_both_ways(_summed(pairs)), ["productId"], tie="rec_productId", k=k)
+
+    # At most MAX_HEAVY ids, so the broadcast has a fixed bound.
+    few = F.broadcast(ratings.sparkSession.createDataFrame([(u,) for u in users], "userId int"))
+    dense = rows.join(few, "userId", "left_semi")
+    touched = dense.select("productId").distinct().withColumn("touched", F.lit(True))
+    light = rows.join(few, "userId", "left_anti").join(touched, "productId", "left").withColumn(
+        "touched", F.coalesce("touched", F.lit(False))
+    )
+    # A pair whose products no heavy user rated both is complete from the light
+    # side. All others meet the heavy counts in the block kernel.
+    outside = pairs_within(light, "userId", "productId", [*items, "touched"], chunk, sizes).filter(
+        ~(F.col("a.touched") & F.col("b.touched"))
+    )
+    inside = _summed(pairs_within(light.filter("touched"), "userId", "productId", items, chunk, sizes))
+    near = _block_scores(dense, inside, touched, k, block_rows).toDF("productId", "rec_productId", "score")
+    return top_k(
+        _both_ways(_summed(outside)).unionByName(near), ["productId"], tie="rec_productId", k=k
+    )
+
+
+def _block_scores(dense: DataFrame, inside: DataFrame, touched: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """(p1, p2, score): the k best partners per product and block pair.
+
+    Products are hashed to blocks of about ``block_rows``; a task holds the heavy
+    users' counts for two blocks (MAX_HEAVY x 2 blocks at most) and the light
+    sums of their pairs.
+    """
+    blocks = touched.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int")).scalar()
+
+    def block(product: str) -> Column:
+        return F.pmod(F.xxhash64(product), F.col("blocks")).cast("int")
+
+    heavy = (
+        dense.withColumn("blocks", blocks).withColumn("own", block("productId"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+            "own", "userId", "productId", "n", "total",
         )
-        .select("productId", "rec_productId", (F.col("cocount") / F.col("norm")).alias("score"))
     )
-    return top_k(mirror(sim, "productId", "rec_productId"), ["productId"], tie="rec_productId", k=k)
+    light = inside.withColumn("blocks", blocks).select(
+        F.least(block("p1"), block("p2")).alias("lo"), F.greatest(block("p1"), block("p2")).alias("hi"),
+        "p1", "p2", "cocount",
+    )
+
+    def multiply(counts: pa.Table, sums: pa.Table) -> pa.Table:
+        if counts.num_rows == 0:
+            return matches(*_NOTHING, 0.0, k)
+        own, product, total = (counts.column(c).to_numpy() for c in ("own", "productId", "total"))
+        users, user = np.unique(counts.column("userId").to_numpy(), return_inverse=True)
+        n = counts.column("n").to_numpy()
+        lo, hi = counts.column("lo")[0].as_py(), counts.column("hi")[0].as_py()
+
+        def side(which):
+            mine = own == which
+            ids, first, at = np.unique(product[mine], return_index=True, return_inverse=True)
+            matrix = np.zeros((len(users), len(ids)))
+            matrix[user[mine], at] = n[mine]
+            return ids, total[mine][first].astype("float64"), matrix
+
+        left, left_total, left_counts = side(lo)
+        right, right_total, right_counts = side(hi) if hi != lo else (left, left_total, left_counts)
+        if len(left) == 0 or len(right) == 0:
+            return matches(*_NOTHING, 0.0, k)
+        both = left_counts.T @ right_counts  # whole numbers, exact in doubles
+        for a, b in (("p1", "p2"), ("p2", "p1")):
+            row, col = sums.column(a).to_numpy(), sums.column(b).to_numpy()
+            fits = np.isin(row, left) & np.isin(col, right)
+            both[np.searchsorted(left, row[fits]), np.searchsorted(right, col[fits])] += \
+                sums.column("cocount").to_numpy()[fits]
+        scores = both / np.sqrt(left_total[:, None] * right_total[None, :])
+        found = matches(left, right, scores, 0.0, k)
+        if hi == lo:
+            return found
+        return pa.concat_tables([found, matches(right, left, np.ascontiguousarray(scores.T), 0.0, k)])
+
+    return heavy.groupBy("lo", "hi").cogroup(light.groupBy("lo", "hi")).applyInArrow(multiply, PAIR_SCHEMA)
+
+
+_NOTHING = (np.zeros(0, dtype="int32"), np.zeros(0, dtype="int32"), np.zeros((0, 0)))

@@ -38,10 +38,13 @@ def bounded_groups(
         .withColumn("_hi", F.greatest("_own", "_other"))
     )
     item = F.struct(F.col(item_id).alias("id"), F.col("_own").alias("own"), *payload)
+    # Explicit, because a join on the key alone would satisfy the grouping and
+    # leave the hot key in one partition; with a number, because the work grows
+    # with the square of a group, and merging partitions by bytes would undo the
+    # spread.
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        # Explicit, because a join on the key alone would satisfy the grouping
-        # and leave the hot key in one partition.
-        routed.select(key, "_lo", "_hi", item.alias("_item")).repartition(key, "_lo", "_hi")
+        routed.select(key, "_lo", "_hi", item.alias("_item")).repartition(partitions, key, "_lo", "_hi")
         .groupBy(key, "_lo", "_hi").agg(F.sort_array(F.collect_list("_item")).alias("_items"))
         .filter(F.size("_items") > 1)
     )

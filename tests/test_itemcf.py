@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from cartwise.operators.itemcf import cooccurrence, item_cf
+from cartwise.operators.itemcf import cooccurrence, heavy_users, item_cf
 from cartwise.operators.pairs import mirror, pairs_within
 from cartwise.operators.ranking import pack_recs, similarity_map, top_k, unpack_recs
 
@@ -53,6 +53,21 @@ def test_matches_brute_force_with_hot_keys(spark, chunk, distinct):
     assert got == _brute(pairs, 5, distinct)
 
 
+@pytest.mark.parametrize("heavy,block_rows", [(5, 16), (40, 1024), (100, 16)])
+@pytest.mark.parametrize("distinct", [False, True])
+def test_heavy_users_by_blocks_match_brute_force(spark, heavy, block_rows, distinct):
+    pairs = _hot_user_sample(7)
+    ratings = _ratings(spark, pairs)
+    assert heavy_users(ratings, heavy)[0] == 0
+    got = _got(item_cf(ratings, k=5, distinct_users=distinct, chunk=16, heavy=heavy, block_rows=block_rows))
+    assert got == _brute(pairs, 5, distinct)
+
+
+def test_heavy_users_are_bounded(spark):
+    ratings = _ratings(spark, _hot_user_sample(7))
+    assert heavy_users(ratings, 0, at_most=3)[0] == 0 and len(heavy_users(ratings, 0, at_most=3)) == 3
+
+
 def test_input_order_changes_nothing(spark):
     pairs = _hot_user_sample(5)
     shuffled = pairs[::-1]
