@@ -7,7 +7,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartwise.functions.columns import cooccurrence_norm
 from cartwise.operators.pairs import CHUNK, mirror, pairs_within
@@ -69,6 +69,12 @@ def cooccurrence(ratings: DataFrame, distinct_users: bool = False, chunk: int =
     )
 
 
+def register_view(spark: SparkSession, ratings: DataFrame) -> None:
+    """View ``cooccurrence`` (product1, product2, cocount, count1, count2) for SQL text."""
+    cooccurrence(ratings).toDF("product1", "product2", "cocount", "count1", "count2") \
+        .createOrReplaceTempView("cooccurrence")
+
+
 def _summed(pairs: DataFrame) -> DataFrame:
     """(p1, p2, cocount, norm), added up map-side before the shuffle."""
     return pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(

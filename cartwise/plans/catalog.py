@@ -116,6 +116,22 @@ def item_cf_distinct_users(spark, folder):
     return itemcf.item_cf(star.ratings(spark, folder), distinct_users=True)
 
 
+def item_cf_heavy_blocks(spark, folder):
+    """The same lists with every user above 40 ratings summed by blocks of products."""
+    return itemcf.item_cf(star.ratings(spark, folder), heavy=40, block_rows=512)
+
+
+def sql_item_similarity(spark, folder):
+    """Partners per product and their best score, as SQL text over the co-rating view."""
+    itemcf.register_view(spark, star.ratings(spark, folder))
+    return spark.sql(
+        "SELECT productId, count(*) AS partners, sum(cocount) AS co_ratings, "
+        "max(cocount / sqrt(CAST(count1 AS DOUBLE) * count2)) AS best FROM ("
+        "  SELECT stack(2, product1, cocount, count1, count2, product2, cocount, count2, count1)"
+        "    AS (productId, cocount, count1, count2) FROM cooccurrence) GROUP BY productId"
+    )
+
+
 def _hydrated(lists, spark, folder, key="productId"):
     read = serve.similar if key == "productId" else serve.for_user
     return read(pack_recs(lists, key, "rec_productId"), star.products(spark, folder), _averages(spark, folder))
@@ -153,6 +169,11 @@ def dense_cosine_recs(spark, folder):
     return vectors.cosine_recs(star.vectors(spark, folder))
 
 
+def dense_cosine_top(spark, folder):
+    """The 5 nearest vectors, met in blocks of 128."""
+    return vectors.cosine_recs(star.vectors(spark, folder), k=5, block_rows=128)
+
+
 # -- factor model -------------------------------------------------------------
 
 def als_user_recs(spark, folder):
@@ -255,9 +276,10 @@ QUERIES: dict[str, Query] = {
     for f in (
         rate_more_products, rate_more_recently, average_products, monthly_rollup, averages_from_rollup,
         sql_monthly, distinct_ids, most_rated, hot_products, best_rated, product_cards, product_info,
-        search_products, cooccurrence, item_cf, item_cf_distinct_users, similar_itemcf, tfidf_exact,
+        search_products, cooccurrence, item_cf, item_cf_distinct_users, item_cf_heavy_blocks,
+        sql_item_similarity, similar_itemcf, tfidf_exact,
         tfidf_hashed, content_recs, content_recs_top, content_recs_hashed, similar_content,
-        dense_cosine_recs, als_user_recs, als_product_recs, als_rmse_grid, offline_for_user,
+        dense_cosine_recs, dense_cosine_top, als_user_recs, als_product_recs, als_rmse_grid, offline_for_user,
         upsert_ratings, recent_ratings, recent_queue, latest_event, replaced_lists, stream_candidates,
         stream_scores, stream_recs, extract_events, parse_events, event_text,
     )

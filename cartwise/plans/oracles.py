@@ -65,6 +65,13 @@ CONTENT_RANKED = """ranked AS (
   SELECT p1 AS "productId", p2 AS "rec_productId", score,
          CAST(row_number() OVER (PARTITION BY p1 ORDER BY score DESC, p2) AS INTEGER) AS "rank" FROM sim)"""
 
+DENSE = """WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_dot_product(e, e) > 0),
+sim AS (SELECT * FROM (
+  SELECT a.id AS p1, b.id AS p2, floor(list_dot_product(a.e, b.e) / (a.norm * b.norm) * 1e9 + 0.5) / 1e9 AS score
+  FROM u a JOIN u b ON a.id <> b.id) s WHERE score > 0.4),
+""" + CONTENT_RANKED + "\n"
+
 LATEST = """latest AS (SELECT "userId", "productId", score, "timestamp" FROM (
   SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY "timestamp" DESC, "productId" DESC, score DESC) AS rn
   FROM ev) x WHERE rn = 1)"""
@@ -161,6 +168,10 @@ ORACLES: dict[str, str] = {
     "cooccurrence": _with(RATINGS, _item_cf(False)) + "SELECT * FROM pairs WHERE p1 < p2",
     "item_cf": _with(RATINGS, _item_cf(False)) + "SELECT * FROM itemcf",
     "item_cf_distinct_users": _with(RATINGS, _item_cf(True)) + "SELECT * FROM itemcf",
+    "item_cf_heavy_blocks": _with(RATINGS, _item_cf(False)) + "SELECT * FROM itemcf",
+    "sql_item_similarity": _with(RATINGS, _item_cf(False))
+    + 'SELECT p1 AS "productId", count(*) AS partners, CAST(sum(cocount) AS BIGINT) AS co_ratings, '
+      "max(score) AS best FROM pairs GROUP BY 1",
     "similar_itemcf": _with(RATINGS, PRODUCTS, AVERAGES, _item_cf(False)) + _hydrate("productId", "itemcf"),
     "tfidf_exact": _with(PRODUCTS, TFIDF)
     + 'SELECT "productId", term, tf, df, floor(weight * 1e9 + 0.5) / 1e9 AS weight FROM weights',
@@ -168,12 +179,8 @@ ORACLES: dict[str, str] = {
     "content_recs_top": _with(PRODUCTS, CONTENT, CONTENT_RANKED) + f'SELECT * FROM ranked WHERE "rank" <= {TOP}',
     "similar_content": _with(RATINGS, PRODUCTS, AVERAGES, CONTENT, CONTENT_RANKED)
     + _hydrate("productId", f'(SELECT * FROM ranked WHERE "rank" <= {TOP})'),
-    "dense_cosine_recs": """WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-u AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_dot_product(e, e) > 0),
-sim AS (SELECT * FROM (
-  SELECT a.id AS p1, b.id AS p2, floor(list_dot_product(a.e, b.e) / (a.norm * b.norm) * 1e9 + 0.5) / 1e9 AS score
-  FROM u a JOIN u b ON a.id <> b.id) s WHERE score > 0.4),
-""" + CONTENT_RANKED + "\nSELECT * FROM ranked",
+    "dense_cosine_recs": DENSE + "SELECT * FROM ranked",
+    "dense_cosine_top": DENSE + 'SELECT * FROM ranked WHERE "rank" <= 5',
     "upsert_ratings": _with(RATINGS, EVENTS)
     + """SELECT * FROM ratings r WHERE NOT EXISTS (
   SELECT 1 FROM ev e WHERE e."userId" = r."userId" AND e."productId" = r."productId")
