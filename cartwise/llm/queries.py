@@ -7,12 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, rules, simhash
+from cartwise.llm import bpe, mixing, pii, rules, simhash
 from cartwise.llm.common import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
@@ -27,6 +36,8 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mixing": op4_mixing,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
