@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, mixing, pii, rules, simhash
+from cartwise.llm import bpe, licenses, mixing, pii, rules, simhash
 from cartwise.llm.common import table
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle()}
+
+
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,6 +40,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licenses": op2_licenses,
     "op4_mixing": op4_mixing,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
