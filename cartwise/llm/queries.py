@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, licenses, mixing, pii, rules, simhash
-from cartwise.llm.common import table
+from cartwise.llm import bpe, licenses, mixing, pii, rules, simhash, tokens
+from cartwise.llm.common import scratch, table
 
 ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle()}
 
 
+def op1_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark)
+    tokens.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read_documents(spark, path)
+
+
 def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
@@ -40,6 +46,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tokens": op1_tokens,
     "op2_licenses": op2_licenses,
     "op4_mixing": op4_mixing,
     "op6_pii": op6_pii,
