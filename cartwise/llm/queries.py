@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, licenses, mixing, pii, rules, simhash, tokens
+from cartwise.llm import bpe, langid, licenses, mixing, pii, rules, simhash, tokens
 from cartwise.llm.common import scratch, table
 
 ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle()}
@@ -23,6 +23,10 @@ def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokens": op1_tokens,
     "op2_licenses": op2_licenses,
+    "op3_langid": op3_langid,
     "op4_mixing": op4_mixing,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
