@@ -22,6 +22,7 @@ ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
 # Letters up to here are classed alike by every Unicode release; beyond, the library itself normalises and splits.
 OLD = regex.compile(r"[^\x00-\u024f]")
+PREFIX = 4
 CACHE = 300_000  # words a task remembers before it starts anew; a matter of speed only
 
 
@@ -60,7 +61,12 @@ class Automaton:
             self.target[u] = len(self.parent) - 1
             self.target[w] = onward
             self.born[w], self.left[w] = time, u
-        self.longest = max(map(len, vocab), default=0)
+        # The most letters of a token by its first ones, so that no longer slices are looked up.
+        self.longest: dict[str, int] = {}
+        for label in vocab:
+            letters = label[:-len(end)] if end and label.endswith(end) and label != end else label
+            start = letters[:PREFIX]
+            self.longest[start] = max(len(letters), self.longest.get(start, 0))
         self.arcs: dict[int, bool] = {}
         self.size = size
 
@@ -89,36 +95,40 @@ class Automaton:
         """Ids of one word, in letters of the vocabulary: the one accepted path that spells it."""
         if not word:
             return []
-        vocab, target, has_arc = self.vocab, self.target, self.has_arc
+        lookup, target, has_arc, known, size = self.vocab.get, self.target, self.has_arc, self.arcs.get, self.size
         spelled, stop, tail = word + self.end, len(word), len(self.end)
-        whole = vocab.get(spelled)
+        whole = lookup(spelled)
         if whole is not None and has_arc(0, whole):
             return [whole]
         # Depth first, longest arc first; a place and token that led nowhere is not tried twice.
         dead: set[tuple[int, int]] = set()
         path: list[int] = []
         places = [0]
-        longest = self.longest
-        reach = min(stop, longest)
+        longest = self.longest.get
+        reach = min(stop, longest(word[:PREFIX], PREFIX))
         while True:
             place = places[-1]
             state = target[path[-1]] if path else 0
             found = -1
             while reach > place:
-                token = vocab.get(spelled[place:reach] if reach < stop else spelled[place:stop + tail])
-                if token is not None and (reach, token) not in dead and has_arc(state, token):
-                    found = token
-                    break
+                token = lookup(spelled[place:reach] if reach < stop else spelled[place:stop + tail])
+                if token is not None:
+                    leads = known(state * size + token)
+                    if leads is None:
+                        leads = has_arc(state, token)
+                    if leads and (not dead or (reach, token) not in dead):
+                        found = token
+                        break
                 reach -= 1
             if found >= 0:
                 path.append(found)
                 places.append(reach)
                 if reach == stop:
                     return path
-                reach = min(stop, reach + longest)
+                reach = min(stop, reach + longest(word[reach:reach + PREFIX], PREFIX))
             elif path:
                 dead.add((places.pop(), path.pop()))
-                reach = min(stop, places[-1] + longest)
+                reach = min(stop, places[-1] + longest(word[places[-1]:places[-1] + PREFIX], PREFIX))
             else:
                 raise ValueError(f"a letter of {word!r} is not in the vocabulary")
 
@@ -146,15 +156,25 @@ class WordCodec:
         self.normalize, self.split = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
         self.letters = byte_letters()
         self.cache: dict[str, bytes] = {}
-        self.dtype = "<u2" if len(self.labels) <= 1 << 16 else "<u4"
+        self.parts: dict[str, bytes] = {}
+        self.width = 2 if len(self.labels) <= 1 << 16 else 4
+        self.dtype = f"<u{self.width}"
 
     def _miss(self, word: str) -> bytes:
         if OLD.search(word):
             parts = [part for part, _ in self.split(word)]
         else:
             parts = ["".join([self.letters[b] for b in part.encode()]) for part in self.pattern.findall(word)]
-        ids = [token for part in parts for token in self.automaton.encode(part)]
-        made = np.array(ids, self.dtype).tobytes()
+        known, width = self.parts, self.width
+        made = b""
+        for part in parts:
+            ids = known.get(part)
+            if ids is None:
+                ids = b"".join([token.to_bytes(width, "little") for token in self.automaton.encode(part)])
+                if len(known) >= CACHE:
+                    known.clear()
+                known[part] = ids
+            made += ids
         if len(self.cache) >= CACHE:
             self.cache.clear()
         self.cache[word] = made
