@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, langid, licenses, mixing, pii, rules, simhash, tokens
+from cartwise.llm import bpe, langid, licenses, mixing, pii, repeats, rules, simhash, tokens
 from cartwise.llm.common import scratch, table
 
 ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle()}
@@ -31,6 +31,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return pii.find(docs, pii.fit(docs))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op3_langid": op3_langid,
     "op4_mixing": op4_mixing,
+    "op5_repeats": op5_repeats,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
