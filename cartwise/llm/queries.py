@@ -7,10 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, langid, licenses, mixing, pii, repeats, rules, simhash, tokens
+from cartwise.llm import bpe, langid, lattice, licenses, mixing, pii, repeats, rules, simhash, tokens
 from cartwise.llm.common import scratch, table
 
-ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle(), "op8_lattice": lattice.ORACLE}
 
 
 def op1_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
 
 
+def op8_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeats": op5_repeats,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op8_lattice": op8_lattice,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
