@@ -25,7 +25,7 @@ HINT = re.compile(r"[0-9@]")
 WINDOW, STRIDE = 160, 96  # characters; a window rules its middle, the margins are context
 MARGIN = (WINDOW - STRIDE) // 2
 TRAIN_WINDOWS = 2_400  # the bound of the labelled sample the tagger is fitted on
-TRAIN_LENGTH, EPOCHS, BATCH, RATE = 112, 6, 96, 0.01
+TRAIN_LENGTH, STEPS, BATCH, RATE = 112, 170, 96, 0.01  # as many steps however few the examples are
 EMBED, HIDDEN = 12, 20
 TAGS = 1 + 2 * len(KINDS)  # outside, then first and further letter of each kind
 LETTERS = "\n\t" + "".join(map(chr, range(32, 127)))
@@ -229,22 +229,21 @@ def train(examples: list[tuple[str, list[Span]]], seed: int = 7) -> Tagger:
             y[row, begin] = 1 + 2 * kind
     fixed = w["t"] < -1
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
-    step = 0
-    for epoch in range(EPOCHS):
-        order = rng.permutation(len(examples))
-        for begin in range(0, len(order), BATCH):
-            rows = order[begin:begin + BATCH]
-            grad = _gradient(w, x[rows], y[rows])
-            grad["t"][fixed] = 0
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-            step += 1
-            rate = RATE * (1 - epoch / EPOCHS)
-            for k, g in grad.items():
-                g = g * min(1.0, 5.0 / max(norm, 1e-9))
-                m, v = moment[k]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                w[k] -= (rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+    order = np.zeros(0, np.int64)
+    for step in range(1, STEPS + 1):
+        while len(order) < BATCH:
+            order = np.concatenate([order, rng.permutation(len(examples))])
+        rows, order = order[:BATCH], order[BATCH:]
+        grad = _gradient(w, x[rows], y[rows])
+        grad["t"][fixed] = 0
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
+        rate = RATE * (1 - (step - 1) / STEPS)
+        for k, g in grad.items():
+            g = g * min(1.0, 5.0 / max(norm, 1e-9))
+            m, v = moment[k]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            w[k] -= (rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
     return Tagger(w)
 
 

@@ -166,7 +166,7 @@ def _stratum() -> Column:
     return F.coalesce(F.col("row.lang"), F.lit("")).alias("stratum")
 
 
-def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """``doc_id``, the BASE counts, ``base_failed``, ``kept``, one row per row of ``docs``.
 
     Null, empty and blank texts count 0 of everything and fail the base rules. A null lang is a stratum of its
@@ -175,12 +175,12 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     are not read.
     """
     counts = stored(measured(docs, ["doc_id", "lang"]).select("row.doc_id", _stratum(), *_names(f"{BASE}, {MORE}")))
-    found = cutoffs(counts, labels)
+    found = cutoffs(counts, labels, risk, doubt)
     return counts.select("doc_id", *_names(BASE), base_failed().alias("base_failed"), verdict(found).alias("kept"))
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """The rows of ``docs`` that :func:`quality` keeps, with their columns."""
     counts = stored(measured(docs, ["doc_id", "lang"]).select("row.doc_id", _stratum(), *_names(f"{BASE}, {MORE}")))
-    found = cutoffs(counts, labels)
+    found = cutoffs(counts, labels, risk, doubt)
     return measured(docs, docs.columns).withColumn("stratum", _stratum()).where(verdict(found)).select("row.*")
