@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -31,6 +34,29 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application; they need not have it installed.
+
+    The archive is made on the driver and served by it, as any file given to ``addPyFile``.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="llm-package-"), "cartwise_package.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    file.write(path, os.path.relpath(path, os.path.dirname(home)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that one holds about ``most`` bytes of the column, and always a row."""
     for batch in batches:
@@ -49,6 +75,7 @@ def map_texts(
     """Run ``kernel(*args)``, made once per task, over slices of the rows; it returns the columns of ``schema`` by name."""
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = fields.names
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = kernel(*args)
