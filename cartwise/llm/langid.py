@@ -11,10 +11,11 @@ from cartwise.llm.common import carried, map_texts, with_row
 LENGTH = 256  # bytes of a window
 EMBED, FILTERS, WIDTHS = 8, 16, (2, 3, 4)
 PAD = 256
-EXAMPLES = 1_500  # the bound of the sample: windows of each language, one a document at most
+EXAMPLES, SPARE = 1_500, 4  # the bound of the sample: windows of each language, one a document at most
 STEPS, BATCH, RATE, SEED = 600, 64, 0.01, 3  # as many steps however few the examples are
 DECODE = 512  # windows scored at once
 UNKNOWN = "und"
+TOP = (1 << 63) - 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -109,12 +110,19 @@ def windows(text: bytes) -> np.ndarray:
 def sample(docs: DataFrame, examples: int = EXAMPLES) -> list[tuple[str, bytes]]:
     """(lang, window) of up to ``examples`` learnable documents of each language, those of the lowest hash of id and text.
 
-    A window starts at a place that the hash picks. At most ``examples`` short windows a language reach the driver.
+    A window starts at a place that the hash picks. At most ``examples`` short windows a language reach the driver;
+    a first count, which reads no text, sets a hash bound that about SPARE times as many pass, so that the ranking
+    task gets few rows however many documents there are.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
+    learnable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    bound = F.lit(TOP)
+    for lang, count in learnable.groupBy("lang").count().collect():
+        bound = F.when(F.col("lang") == lang, F.lit(min(TOP, TOP * SPARE * examples // count))).otherwise(bound)
+    rows = learnable.where(F.col("text").rlike(r"\p{L}"))
     place = F.xxhash64("doc_id", "text")
     start = F.pmod(place, F.greatest(F.length("text") - LENGTH, F.lit(1)).cast("long")).cast("int") + 1
     rows = rows.select("lang", place.alias("place"), F.substring("text", start, F.lit(LENGTH)).alias("part"))
+    rows = rows.where(F.shiftrightunsigned("place", 1) < bound)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("place", "part"))
     taken = rows.withColumn("first", first).where(F.col("first") <= examples).select("lang", "place", "part").collect()
     return [(r.lang, r.part.encode()[:LENGTH]) for r in sorted(taken, key=lambda r: (r.lang, r.place, r.part))]
