@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cartwise.llm.common import carried, map_texts, with_row
+from cartwise.llm.common import carried, map_texts, stored, with_row
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns. Possessive repeats match the same spans and keep runs of digits linear.
@@ -283,11 +283,21 @@ def _written(spans: list[Span], numbers: bool = False) -> str:
 def fit(docs: DataFrame, windows: int = TRAIN_WINDOWS) -> Tagger:
     """A tagger fitted on ``windows`` pieces of text at most, those of the lowest hash, labelled by the patterns.
 
-    Besides, phone numbers and cards among them are shown once more in forms that the patterns do not take.
+    Pieces are counted by the first digits of their hash, at most 4096 numbers, so that the driver gets only the
+    buckets it needs. Besides, phone numbers and cards among them are shown once more in forms that the patterns do not take.
     """
     pieces = map_texts(docs.select(F.col("text").cast("binary").alias("text")).where(F.col("text").isNotNull()),
                        "piece string, spans string, place string", _sample_kernel)
-    rows = pieces.dropDuplicates(["place"]).orderBy("place").limit(windows).collect()
+    pieces = stored(pieces)
+    most, room = "g", windows  # "g" is above every digit of a hash
+    buckets = pieces.groupBy(F.substring("place", 1, 3).alias("bucket")).agg(F.count_distinct("place").alias("n")).collect()
+    for bucket, count in sorted(map(tuple, buckets)):
+        room -= count
+        if room <= 0:
+            most = bucket + "g"
+            break
+    rows = pieces.where(F.col("place") < most).dropDuplicates(["place"]).collect()
+    rows = sorted(rows, key=lambda r: r.place)[:windows]
     examples = []
     for row in rows:
         spans = [tuple(map(int, part.split(":"))) for part in row.spans.split(",") if part]
