@@ -69,8 +69,9 @@ def tag_text(tags: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased words, split on every single whitespace character; none at the end."""
-    return F.split(F.regexp_replace(F.lower(text), r"\s+$", ""), r"\s")
+    """Lower-cased words, split on every single whitespace character; none at the end, none in blank text."""
+    whole = F.regexp_replace(F.lower(text), r"\s+$", "")
+    return F.when(whole == "", F.array().cast("array<string>")).otherwise(F.split(whole, r"\s"))
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -87,6 +88,11 @@ def half_score(score: Column) -> Column:
     return F.round(score / 2, 2)
 
 
+def trim_blanks(text: Column) -> Column:
+    """Text without the blanks and control characters at its ends."""
+    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def rating_event(user: Column, product: Column, score: Column, ts: Column) -> Column:
     return F.concat(F.lit(RATING_PREFIX), F.concat_ws("|", user, product, score, ts))
 
@@ -94,17 +100,17 @@ def rating_event(user: Column, product: Column, score: Column, ts: Column) -> Co
 def rating_payload(line: Column) -> Column:
     """Text between the first and second prefix, trimmed; NULL when there is none."""
     after = F.try_element_at(F.split(line, RATING_PREFIX), F.lit(2))
-    return F.when(line.contains(RATING_PREFIX), F.nullif(F.trim(after), F.lit("")))
+    return F.when(line.contains(RATING_PREFIX), F.nullif(trim_blanks(after), F.lit("")))
 
 
 def exact_mean_product(sim: Column, rating: Column) -> Column:
-    """Aggregate: mean of sim * rating, summed in whole units of 1e-9 and 1/100.
+    """Aggregate: mean of sim * rating, summed as decimals with nine places each.
 
-    Similarities sit on that grid and ratings have two decimals, so the sum is
+    Similarities sit on that grid and ratings keep nine decimals, so the sum is
     exact and the same in any order.
     """
-    units = F.floor(sim * 1e9 + 0.5).cast("bigint") * F.floor(rating * 100 + 0.5).cast("bigint")
-    return F.sum(units) / (F.count("*") * F.lit(1e11))
+    product = sim.cast("decimal(11,9)") * rating.cast("decimal(18,9)")
+    return F.sum(product).cast("double") / F.count("*")
 
 
 def stream_score(mean_weighted: Column, high: Column, low: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cartwise.operators.vectors import BLOCK_ROWS, MIN_SIM, cosine_recs, cosine_similarity
 from cartwise.session import checkpoint_dir
@@ -13,40 +14,72 @@ from cartwise.session import checkpoint_dir
 # Model parameters, list length and search grid.
 RANK, ITERATIONS, REG = 5, 10, 0.01
 USER_LIST = 20
+BLOCKS = 10  # user and item blocks; a fixed number, as the factors depend on it
+FITS_AT_ONCE = 4
 GRID_RANKS, GRID_REGS, GRID_ITERATIONS = (5, 10, 20, 50), (1.0, 0.1, 0.01), 50
 
 
 def train_als(
     ratings: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REG,
-    seed: int = 7, blocks: int | None = None,
+    seed: int = 7, blocks: int = BLOCKS,
 ) -> ALSModel:
     """Explicit-feedback ALS.
 
-    ``blocks`` is the number of user and of item blocks; by default it follows
-    the cluster's parallelism. Unknown users or products drop out of predictions.
+    ``blocks`` is the number of user and of item blocks; it does not follow the
+    cluster, so a seed gives the same lists on any. Ids must fit 32 bits, as the
+    library's model asks. Unknown users or products drop out of predictions.
     """
     spark = ratings.sparkSession
     checkpoint_dir(spark)
     return ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed,
         userCol="userId", itemCol="productId", ratingCol="score",
-        numUserBlocks=blocks or spark.sparkContext.defaultParallelism,
-        numItemBlocks=blocks or spark.sparkContext.defaultParallelism,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         coldStartStrategy="drop", checkpointInterval=10,
     ).fit(ratings.select("userId", "productId", F.col("score").cast("float").alias("score")))
 
 
-def user_recs(model: ALSModel, k: int = USER_LIST, min_pred: float = 0.0) -> DataFrame:
+def user_recs(
+    model: ALSModel, k: int = USER_LIST, min_pred: float = 0.0, exclude_rated: DataFrame | None = None
+) -> DataFrame:
     """(userId, rec_productId, score, rank): the k best predictions above ``min_pred``.
 
-    Cutting to k first and to positive scores after gives the same list as the
-    other way round, and lets the model keep a k-heap per user.
+    Equal scores rank by productId; which of those that tie with the k-th are in
+    the list is the model's choice. Cutting to k first and to positive scores
+    after gives the same list as the other way round, and lets the model keep a
+    k-heap per user.
+
+    ``exclude_rated`` holds ratings (userId, productId) that are not offered.
+    Users are taken by the size class of what they rated, and of each class the
+    model gives so many more that k unrated ones are among them.
     """
-    best = model.recommendForAllUsers(k).select("userId", F.posexplode("recommendations").alias("_pos", "_rec"))
+    if exclude_rated is None:
+        return _ranked(_flat(model.recommendForAllUsers(k)), min_pred)
+    rated = exclude_rated.select("userId", "productId").distinct()
+    users = model.userFactors.select(F.col("id").cast("bigint").alias("userId"))
+    sizes = users.join(rated.groupBy("userId").agg(F.count("*").alias("n")), "userId", "left")
+    sizes = sizes.select("userId", F.coalesce(F.ceil(F.log2(F.col("n") + 1)), F.lit(0)).cast("int").alias("class"))
+    offered = None
+    for (level,) in sorted(map(tuple, sizes.select("class").distinct().collect())):  # at most 32
+        mine = sizes.filter(F.col("class") == level).select(F.col("userId").cast("int").alias("userId"))
+        flat = _flat(model.recommendForUserSubset(mine, k + 2 ** level - 1))
+        offered = flat if offered is None else offered.unionByName(flat)
+    open_ = offered.join(rated.withColumnRenamed("productId", "rec_productId"), ["userId", "rec_productId"], "left_anti")
+    return _ranked(open_, min_pred).filter(F.col("rank") <= k)
+
+
+def _flat(lists: DataFrame) -> DataFrame:
+    best = lists.select("userId", F.explode("recommendations").alias("_rec"))
     return best.select(
-        "userId", F.col("_rec.productId").alias("rec_productId"),
-        F.col("_rec.rating").cast("double").alias("score"), (F.col("_pos") + 1).alias("rank"),
-    ).filter(F.col("score") > min_pred)
+        F.col("userId").cast("bigint").alias("userId"), F.col("_rec.productId").cast("bigint").alias("rec_productId"),
+        F.col("_rec.rating").cast("double").alias("score"),
+    )
+
+
+def _ranked(flat: DataFrame, min_pred: float) -> DataFrame:
+    order = Window.partitionBy("userId").orderBy(F.desc("score"), F.asc("rec_productId"))
+    return flat.filter(F.col("score") > min_pred).withColumn("rank", F.row_number().over(order))
 
 
 def product_similarity(
@@ -73,8 +106,8 @@ def tune_als(
 ) -> DataFrame:
     """(rank, iterations, reg, rmse) of every grid cell on a held-out fifth.
 
-    Each cell is a distributed fit and one aggregate; only its single number
-    reaches the driver. Split by a hash of the row, not of its position, so the
+    Each cell is a distributed fit and one aggregate, FITS_AT_ONCE of them at a
+    time; only its single number reaches the driver. Split by a hash of the row, not of its position, so the
     held-out rows do not depend on partitioning.
     """
     spark = ratings.sparkSession
@@ -82,11 +115,14 @@ def tune_als(
     train = ratings.filter(slot < 8).persist()
     held = ratings.filter(slot >= 8).persist()
     try:
-        cells = []
-        for rank, reg in product(ranks, regs):
+        def cell(at):
+            rank, reg = at
             model = train_als(train, rank, iterations, reg, seed)
             predicted = model.transform(held.select("userId", "productId", "score"))
-            cells.append((rank, iterations, float(reg), rmse(predicted).first()["rmse"]))
+            return rank, iterations, float(reg), rmse(predicted).first()["rmse"]
+
+        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+            cells = list(pool.map(cell, product(ranks, regs)))
     finally:
         train.unpersist()
         held.unpersist()

@@ -17,11 +17,11 @@ from cartwise.operators.vectors import PAIR_SCHEMA, matches
 # The kernel travels inside the job, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# From how many ratings a user counts as heavy, how many such users at most, and
-# how many products make a block.
+# From how many products on a user counts as heavy, how many products make a
+# block, and how many users' counts are multiplied at once.
 HEAVY = 20_000
-MAX_HEAVY = 4096
 BLOCK_ROWS = 1024
+USER_SLICE = 4096
 
 
 def counted_ratings(ratings: DataFrame, distinct_users: bool = False) -> DataFrame:
@@ -75,29 +75,11 @@ def register_view(spark: SparkSession, ratings: DataFrame) -> None:
         .createOrReplaceTempView("cooccurrence")
 
 
-def _summed(pairs: DataFrame) -> DataFrame:
-    """(p1, p2, cocount, norm), added up map-side before the shuffle."""
-    return pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(
-        F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
-        F.max(cooccurrence_norm(F.col("a.total"), F.col("b.total"))).alias("norm"),
-    )
-
-
 def _both_ways(summed: DataFrame) -> DataFrame:
     score = (F.col("cocount") / F.col("norm")).alias("score")
     return mirror(summed.select("p1", "p2", score)).toDF("productId", "rec_productId", "score")
 
 
-def heavy_users(ratings: DataFrame, over: int = HEAVY, at_most: int = MAX_HEAVY) -> list[int]:
-    """The users with more than ``over`` ratings, the heaviest ``at_most`` of them.
-
-    A count with map-side combine over one column. Whoever is left out holds at
-    most one part in ``at_most`` of the ratings.
-    """
-    counts = ratings.groupBy("userId").agg(F.count("*").alias("n")).filter(F.col("n") > over)
-    return [r["userId"] for r in counts.orderBy(F.desc("n"), "userId").limit(at_most).collect()]
-
-
 def item_cf(
     ratings: DataFrame, k: int = 10, distinct_users: bool = False, chunk: int = CHUNK,
     heavy: int = HEAVY, block_rows: int = BLOCK_ROWS,
@@ -105,33 +87,30 @@ def item_cf(
     """(productId, rec_productId, score, rank): the k most similar products of each product.
 
     The pairs of ordinary users are summed as rows. Users with more than
-    ``heavy`` ratings would give pairs by the square of that; theirs are summed
-    as matrix products over blocks of products, which hand on k rows per product
-    and block. Both ways are exact.
+    ``heavy`` products would give pairs by the square of that; however many they
+    are, theirs are summed as matrix products over blocks of products, which
+    hand on k rows per product and block. Both ways are exact, and which one a
+    user takes is a join in the plan.
     """
-    rows, sizes = basket(ratings, distinct_users), _sizes(ratings, distinct_users)
-    items = ["n", "total"]
-    users = heavy_users(ratings, heavy)
-    if not users:
-        pairs = pairs_within(rows, "userId", "productId", items, chunk, sizes)
-        return top_k(_both_ways(_summed(pairs)), ["productId"], tie="rec_productId", k=k)
-
-    # At most MAX_HEAVY ids, so the broadcast has a fixed bound.
-    few = F.broadcast(ratings.sparkSession.createDataFrame([(u,) for u in users], "userId int"))
-    dense = rows.join(few, "userId", "left_semi")
+    sizes, items = _sizes(ratings, distinct_users), ["n", "total"]
+    over = sizes.filter(F.col("_size") > heavy).select("userId", F.lit(True).alias("heavy"))
+    marked = basket(ratings, distinct_users).join(over, "userId", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
+    dense = marked.filter("heavy").drop("heavy")
     touched = dense.select("productId").distinct().withColumn("touched", F.lit(True))
-    light = rows.join(few, "userId", "left_anti").join(touched, "productId", "left").withColumn(
+    light = marked.filter("not heavy").drop("heavy").join(touched, "productId", "left").withColumn(
         "touched", F.coalesce("touched", F.lit(False))
     )
     # A pair whose products no heavy user rated both is complete from the light
     # side. All others meet the heavy counts in the block kernel.
-    outside = pairs_within(light, "userId", "productId", [*items, "touched"], chunk, sizes).filter(
-        ~(F.col("a.touched") & F.col("b.touched"))
+    pairs = pairs_within(light, "userId", "productId", [*items, "touched"], chunk, sizes.filter(F.col("_size") <= heavy))
+    summed = pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(
+        F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
+        F.max(cooccurrence_norm(F.col("a.total"), F.col("b.total"))).alias("norm"),
+        F.bool_and(F.col("a.touched") & F.col("b.touched")).alias("inside"),
     )
-    inside = _summed(pairs_within(light.filter("touched"), "userId", "productId", items, chunk, sizes))
-    near = _block_scores(dense, inside, touched, k, block_rows).toDF("productId", "rec_productId", "score")
+    near = _block_scores(dense, summed.filter("inside"), touched, k, block_rows).toDF("productId", "rec_productId", "score")
     return top_k(
-        _both_ways(_summed(outside)).unionByName(near), ["productId"], tie="rec_productId", k=k
+        _both_ways(summed.filter("not inside")).unionByName(near), ["productId"], tie="rec_productId", k=k
     )
 
 
@@ -139,8 +118,8 @@ def _block_scores(dense: DataFrame, inside: DataFrame, touched: DataFrame, k: in
     """(p1, p2, score): the k best partners per product and block pair.
 
     Products are hashed to blocks of about ``block_rows``; a task holds the heavy
-    users' counts for two blocks (MAX_HEAVY x 2 blocks at most) and the light
-    sums of their pairs.
+    users' ratings in two blocks and the light sums of their pairs, and spreads
+    the ratings to matrices for USER_SLICE users at a time.
     """
     blocks = touched.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int")).scalar()
 
@@ -171,15 +150,22 @@ def _block_scores(dense: DataFrame, inside: DataFrame, touched: DataFrame, k: in
         def side(which):
             mine = own == which
             ids, first, at = np.unique(product[mine], return_index=True, return_inverse=True)
-            matrix = np.zeros((len(users), len(ids)))
-            matrix[user[mine], at] = n[mine]
+
+            def matrix(begin):
+                here = (user[mine] >= begin) & (user[mine] < begin + USER_SLICE)
+                counts = np.zeros((min(USER_SLICE, len(users) - begin), len(ids)))
+                counts[user[mine][here] - begin, at[here]] = n[mine][here]
+                return counts
+
             return ids, total[mine][first].astype("float64"), matrix
 
         left, left_total, left_counts = side(lo)
         right, right_total, right_counts = side(hi) if hi != lo else (left, left_total, left_counts)
         if len(left) == 0 or len(right) == 0:
             return matches(*_NOTHING, 0.0, k)
-        both = left_counts.T @ right_counts  # whole numbers, exact in doubles
+        both = np.zeros((len(left), len(right)))  # whole numbers, exact in doubles
+        for begin in range(0, len(users), USER_SLICE):
+            both += left_counts(begin).T @ right_counts(begin)
         for a, b in (("p1", "p2"), ("p2", "p1")):
             row, col = sums.column(a).to_numpy(), sums.column(b).to_numpy()
             fits = np.isin(row, left) & np.isin(col, right)
@@ -194,4 +180,4 @@ def _block_scores(dense: DataFrame, inside: DataFrame, touched: DataFrame, k: in
     return heavy.groupBy("lo", "hi").cogroup(light.groupBy("lo", "hi")).applyInArrow(multiply, PAIR_SCHEMA)
 
 
-_NOTHING = (np.zeros(0, dtype="int32"), np.zeros(0, dtype="int32"), np.zeros((0, 0)))
+_NOTHING = (np.zeros(0, dtype="int64"), np.zeros(0, dtype="int64"), np.zeros((0, 0)))

@@ -32,7 +32,7 @@ def pack_recs(ranked: DataFrame, key: str, rec: str = "productId", all_keys: Dat
     )
     if all_keys is None:
         return packed
-    empty = F.array().cast("array<struct<productId:int,score:double>>")
+    empty = F.array().cast("array<struct<productId:bigint,score:double>>")
     return all_keys.select(key).distinct().join(packed, key, "left").withColumn("recs", F.coalesce("recs", empty))
 
 

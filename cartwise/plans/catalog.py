@@ -5,16 +5,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from cartwise.functions.columns import (
-    RATING_PREFIX, cooccurrence_similarity, epoch_seconds, half_score, quantise, rating_event, yearmonth,
+    RATING_PREFIX, cooccurrence_similarity, epoch_seconds, exact_mean_product, half_score, quantise, rating_event, yearmonth,
 )
 from cartwise.operators import content, factors, itemcf, online, serve, stats, vectors
-from cartwise.operators.ranking import pack_recs
+from cartwise.operators.ranking import pack_recs, similarity_map
 from cartwise.sources import star
+from cartwise.sources.files import read_table
 from cartwise.sources.keyed import replace_by_key
-from cartwise.streaming.messages import extract_rating_events, parse_rating_events
+from cartwise.streaming.messages import count_malformed, extract_rating_events, parse_rating_events
 
 TOP = 20
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,17 +68,11 @@ def distinct_ids(spark, folder):
 # -- reads --------------------------------------------------------------------
 
 def most_rated(spark, folder):
-    ratings = star.ratings(spark, folder)
-    return serve.most_rated(
-        stats.rate_more_products(ratings), star.products(spark, folder), stats.average_products(ratings), TOP
-    )
+    return serve.most_rated(star.ratings(spark, folder), star.products(spark, folder), TOP)
 
 
 def hot_products(spark, folder):
-    ratings = star.ratings(spark, folder)
-    return serve.hot(
-        stats.rate_more_recently(ratings), star.products(spark, folder), stats.average_products(ratings), TOP
-    )
+    return serve.hot(stats.monthly_rollup(star.ratings(spark, folder)), star.products(spark, folder), TOP)
 
 
 def best_rated(spark, folder):
@@ -162,7 +157,22 @@ def content_recs_hashed(spark, folder):
 
 
 def similar_content(spark, folder):
-    return _hydrated(content_recs_top(spark, folder), spark, folder)
+    """Product rows of the whole content lists, read flat."""
+    return serve.similar(content_recs(spark, folder), star.products(spark, folder), _averages(spark, folder))
+
+
+def similar_asked(spark, folder):
+    """The first 5 of the content lists of the products in the event table."""
+    asked = star.events(spark, folder).select("productId").distinct()
+    return serve.similar(
+        content_recs(spark, folder), star.products(spark, folder), _averages(spark, folder), ids=asked, n=5
+    )
+
+
+def similarity_maps(spark, folder):
+    """The first 10 co-rated partners as a map per product, unpacked again."""
+    sim = item_cf(spark, folder).toDF("p1", "p2", "score", "rank").drop("rank")
+    return similarity_map(sim, 10).select("p1", F.explode("similar").alias("p2", "score"))
 
 
 def dense_cosine_recs(spark, folder):
@@ -181,13 +191,82 @@ def als_user_recs(spark, folder):
 
 
 def als_product_recs(spark, folder):
-    """The 20 nearest products by item factors."""
-    return factors.product_recs(factors.train_als(star.ratings(spark, folder)), k=TOP)
+    """The whole lists by item factors."""
+    return factors.product_recs(factors.train_als(star.ratings(spark, folder)))
 
 
 def als_rmse_grid(spark, folder):
-    """A small search grid; the full one is the default of ``tune_als``."""
-    return factors.tune_als(star.ratings(spark, folder), ranks=(5, 10), regs=(1.0, 0.1), iterations=5)
+    """The full search grid: 12 cells of 50 iterations."""
+    return factors.tune_als(star.ratings(spark, folder))
+
+
+def als_unrated(spark, folder):
+    """The 20 best products each user has not rated."""
+    ratings = star.ratings(spark, folder)
+    return factors.user_recs(factors.train_als(ratings), exclude_rated=ratings)
+
+
+def als_list_shape(spark, folder):
+    """What any engine's user lists must show: per user, if ranks run from 1 without a gap, scores fall and stay
+    above 0, products are rated ones, none twice and 20 at most. One row per rating user."""
+    ratings = star.ratings(spark, folder)
+    lists = factors.user_recs(factors.train_als(ratings))
+    known = ratings.select(F.col("productId").alias("rec_productId"), F.lit(True).alias("known")).distinct()
+    before = F.lag("score").over(Window.partitionBy("userId").orderBy("rank"))
+    checked = lists.join(known, "rec_productId", "left").withColumn("before", before)
+    good = (F.col("score") > 0) & F.coalesce(F.col("score") <= F.col("before"), F.lit(True)) & F.coalesce("known", F.lit(False))
+    whole = checked.groupBy("userId").agg(
+        (F.bool_and(good) & (F.max("rank") == F.count("*")) & (F.min("rank") == 1) & (F.count("*") <= TOP)
+         & (F.count_distinct("rec_productId") == F.count("*"))).alias("good")
+    )
+    return ratings.select("userId").distinct().join(whole, "userId", "left").withColumn("good", F.coalesce("good", F.lit(True)))
+
+
+def _predicted(spark, folder):
+    """Ratings with predictions any engine makes alike: the product's mean score, shrunk by ``reg``."""
+    ratings = star.ratings(spark, folder)
+    means = ratings.groupBy("productId").agg(F.avg("score").alias("mean"))
+    cells = F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), F.lit(50).alias("iterations"), F.lit(g).alias("reg"))
+                                for r in (5, 10) for g in (1.0, 0.1, 0.01)])).alias("cell")
+    return ratings.join(means, "productId").select(
+        "score", cells, "mean").select("score", "cell.*", (F.col("mean") / (1 + F.col("reg") / F.col("rank"))).alias("prediction"))
+
+
+def rmse_by_cell(spark, folder):
+    """Error of each cell of a grid of given predictions."""
+    predicted = _predicted(spark, folder)
+    one = None
+    for rank in (5, 10):
+        for reg in (1.0, 0.1, 0.01):
+            mine = factors.rmse(predicted.filter((F.col("rank") == rank) & (F.col("reg") == reg))).select(
+                F.lit(rank).alias("rank"), F.lit(50).alias("iterations"), F.lit(reg).alias("reg"), quantise(F.col("rmse")).alias("rmse"))
+            one = mine if one is None else one.unionByName(mine)
+    return one
+
+
+def least_cell(spark, folder):
+    return factors.best_parameters(rmse_by_cell(spark, folder))
+
+
+def fine_means(spark, folder):
+    """Mean of similarity times rating where ratings have three decimals: discount x price in thousands, by supplier."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_suppkey", "l_discount", "l_extendedprice")
+    sim, rating = quantise(F.col("l_discount")), F.floor(F.col("l_extendedprice") + 0.5) / 1000
+    return lines.groupBy("l_suppkey").agg(quantise(exact_mean_product(sim, rating)).alias("mean"))
+
+
+def table_scan(spark, folder):
+    """A named table projected and cast to a declared schema."""
+    part = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_size", T.DoubleType()),
+                         T.StructField("p_brand", T.StringType())])
+    return read_table(spark, folder, "part.parquet", part)
+
+
+def malformed_lines(spark, folder):
+    """How many log lines have a prefix and nothing after it: as many as there are events."""
+    return count_malformed(star.event_lines(spark, folder).unionByName(
+        star.events(spark, folder).select(F.concat(F.lit("INFO "), F.lit(RATING_PREFIX), F.lit(" \t")).alias("value"))
+    ))
 
 
 def offline_for_user(spark, folder):
@@ -279,7 +358,9 @@ QUERIES: dict[str, Query] = {
         search_products, cooccurrence, item_cf, item_cf_distinct_users, item_cf_heavy_blocks,
         sql_item_similarity, similar_itemcf, tfidf_exact,
         tfidf_hashed, content_recs, content_recs_top, content_recs_hashed, similar_content,
-        dense_cosine_recs, dense_cosine_top, als_user_recs, als_product_recs, als_rmse_grid, offline_for_user,
+        similar_asked, similarity_maps, dense_cosine_recs, dense_cosine_top, als_user_recs, als_product_recs,
+        als_rmse_grid, als_unrated, als_list_shape, rmse_by_cell, least_cell, fine_means, table_scan,
+        malformed_lines, offline_for_user,
         upsert_ratings, recent_ratings, recent_queue, latest_event, replaced_lists, stream_candidates,
         stream_scores, stream_recs, extract_events, parse_events, event_text,
     )

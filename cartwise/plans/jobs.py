@@ -9,9 +9,6 @@ from cartwise.operators import content, factors, itemcf, stats
 from cartwise.operators.ranking import pack_recs, top_k
 from cartwise.sources.files import read_products, read_ratings, read_table, write_table
 
-# Length of the nested lists kept for serving; the flat relations stay whole.
-SERVED = 100
-
 
 def load(spark: SparkSession, product_file: str, rating_file: str, base: str) -> None:
     """Files to tables Product and Rating; lines that do not parse to *Rejects."""
@@ -44,26 +41,27 @@ def item_cf(spark: SparkSession, base: str, k: int = 10) -> None:
     write_table(lists, base, "ItemCFProductRecs")
 
 
-def content_lists(spark: SparkSession, base: str, buckets: int | None = content.BUCKETS, k: int = SERVED) -> None:
-    """ContentBasedProductRecs over hashed terms, or exact words with ``buckets=None``."""
+def content_lists(spark: SparkSession, base: str, buckets: int | None = content.BUCKETS) -> None:
+    """ContentBasedProductRecs over hashed terms, or exact words with ``buckets=None``.
+
+    Flat, (productId, rec_productId, score, rank): lists have no longest, and no
+    task has to hold one.
+    """
     products = read_table(spark, base, "Product", schema.PRODUCT)
-    recs = content.content_recs(products, k=k, buckets=buckets)
-    write_table(pack_recs(recs, "productId", "rec_productId"), base, "ContentBasedProductRecs")
+    write_table(content.content_recs(products, buckets=buckets), base, "ContentBasedProductRecs")
 
 
-def offline_lists(spark: SparkSession, base: str, k: int | None = None, seed: int = 7) -> None:
-    """UserRecs, the similarity relation ProductSim, and ProductRecs for serving.
+def offline_lists(spark: SparkSession, base: str, seed: int = 7) -> None:
+    """UserRecs (nested, 20 a user), the similarity relation ProductSim, and ProductRecs (flat, whole).
 
-    ProductSim is whole without ``k``; the stream job reads it.
+    The stream job reads ProductSim.
     """
     ratings = read_table(spark, base, "Rating", schema.RATING)
     model = factors.train_als(ratings, seed=seed)
     write_table(pack_recs(factors.user_recs(model), "userId", "rec_productId"), base, "UserRecs")
-    sim = factors.product_similarity(model, k=k)
-    write_table(sim, base, "ProductSim")
+    write_table(factors.product_similarity(model), base, "ProductSim")
     written = read_table(spark, base, "ProductSim", schema.SIMILARITY).toDF("productId", "rec_productId", "score")
-    best = top_k(written, ["productId"], tie="rec_productId", k=SERVED)
-    write_table(pack_recs(best, "productId", "rec_productId"), base, "ProductRecs")
+    write_table(top_k(written, ["productId"], tie="rec_productId"), base, "ProductRecs")
 
 
 def tune(spark: SparkSession, base: str, seed: int = 7) -> None:

@@ -5,20 +5,20 @@ from __future__ import annotations
 TOP = 20
 
 RATINGS = """ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS "userId", CAST(l_partkey AS INTEGER) AS "productId",
+  SELECT CAST(o_custkey AS BIGINT) AS "userId", CAST(l_partkey AS BIGINT) AS "productId",
          CAST(1 + CAST(l_quantity AS INTEGER) % 5 AS DOUBLE) AS score,
          CAST(epoch(o_orderdate) AS BIGINT) AS "timestamp"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 EVENTS = """ev AS (
-  SELECT CAST(user_id AS INTEGER) AS "userId",
-         CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS "productId",
+  SELECT CAST(user_id AS BIGINT) AS "userId",
+         CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS "productId",
          CAST(1 + CAST(floor("value") AS INTEGER) % 5 AS DOUBLE) AS score,
          CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
   FROM events)"""
 
 PRODUCTS = """products AS (
-  SELECT CAST(p_partkey AS INTEGER) AS "productId", p_name AS name, p_type AS categories,
+  SELECT CAST(p_partkey AS BIGINT) AS "productId", p_name AS name, p_type AS categories,
          replace(p_name || ' ' || p_brand || ' ' || p_type, ' ', '|') AS tags
   FROM part)"""
 
@@ -33,6 +33,31 @@ weights AS (
   FROM tf JOIN df USING (term)),
 norms AS (SELECT "productId", sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1)"""
 
+# The bucket of a word: murmur3 of its bytes, 32 bits, seed 42, whole words little-endian and the bytes left over one
+# by one, as the built-in hash does; then modulo the bucket count. Words here are ASCII.
+BUCKET = """terms AS (
+  SELECT DISTINCT unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS word FROM products),
+bytes AS (SELECT word, length(word) AS n, list_transform(string_split(word, ''), lambda c: ascii(c)::UBIGINT) AS b FROM terms),
+blocks AS (
+  SELECT word, n, list_concat(
+    list_transform(range(0, n // 4), lambda i: b[4 * i + 1] | (b[4 * i + 2] << 8) | (b[4 * i + 3] << 16) | (b[4 * i + 4] << 24)),
+    b[4 * (n // 4) + 1:]) AS k FROM bytes),
+mixed AS (
+  SELECT word, n, list_transform(list_transform(list_transform(k, lambda x: (x * 3432918353::UBIGINT) & 4294967295),
+    lambda x: ((x << 15) | (x >> 17)) & 4294967295), lambda x: (x * 461845907::UBIGINT) & 4294967295) AS k FROM blocks),
+folded AS (
+  SELECT word, xor(list_reduce(list_prepend(42::UBIGINT, k), lambda h, x:
+    ((((xor(h, x) << 13) | (xor(h, x) >> 19)) & 4294967295) * 5 + 3864292196::UBIGINT) & 4294967295), n::UBIGINT) AS h FROM mixed),
+f1 AS (SELECT word, (xor(h, h >> 16) * 2246822507::UBIGINT) & 4294967295 AS h FROM folded),
+f2 AS (SELECT word, (xor(h, h >> 13) * 3266489909::UBIGINT) & 4294967295 AS h FROM f1),
+f3 AS (SELECT word, xor(h, h >> 16)::BIGINT AS h FROM f2),
+buckets AS (
+  SELECT word, CAST((((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 800) + 800) % 800 AS INTEGER) AS term FROM f3)"""
+
+HASHED = BUCKET + ",\n" + TFIDF.replace("AS term FROM products)", "AS word FROM products)").replace(
+    "words AS (", "all_words AS (").replace(
+    "tf AS (SELECT", "words AS (SELECT \"productId\", term FROM all_words JOIN buckets USING (word)),\ntf AS (SELECT", 1)
+
 CONTENT = TFIDF + """,
 dots AS (
   SELECT a."productId" AS p1, b."productId" AS p2, sum(a.weight * b.weight) AS d
@@ -65,7 +90,7 @@ CONTENT_RANKED = """ranked AS (
   SELECT p1 AS "productId", p2 AS "rec_productId", score,
          CAST(row_number() OVER (PARTITION BY p1 ORDER BY score DESC, p2) AS INTEGER) AS "rank" FROM sim)"""
 
-DENSE = """WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+DENSE = """WITH v AS (SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 u AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_dot_product(e, e) > 0),
 sim AS (SELECT * FROM (
   SELECT a.id AS p1, b.id AS p2, floor(list_dot_product(a.e, b.e) / (a.norm * b.norm) * 1e9 + 0.5) / 1e9 AS score
@@ -96,8 +121,7 @@ def _recents(source: str, n: int) -> str:
 
 SCORES = """scored AS (
   SELECT c."userId", c.candidate AS "productId",
-         floor((sum(CAST(floor(s.score * 1e9 + 0.5) AS BIGINT) * CAST(floor(r.score * 100 + 0.5) AS BIGINT))
-                  / (count(*) * 1e11)
+         floor((CAST(sum(CAST(s.score AS DECIMAL(11,9)) * CAST(r.score AS DECIMAL(18,9))) AS DOUBLE) / count(*)
                 + (log10(greatest(1, count(*) FILTER (r.score > 3)))
                    - log10(greatest(1, count(*) FILTER (r.score <= 3))))) * 1e9 + 0.5) / 1e9 AS score
   FROM cands c JOIN recents r ON r."userId" = c."userId"
@@ -129,6 +153,13 @@ def _top_list(columns: str, source: str, order: str) -> str:
     )
 
 
+CELLS = """cells AS (
+  SELECT CAST(r AS INTEGER) AS "rank", 50 AS iterations, CAST(g AS DOUBLE) AS reg,
+         floor(sqrt(avg((score - mean / (1 + g / r)) * (score - mean / (1 + g / r)))) * 1e9 + 0.5) / 1e9 AS rmse
+  FROM (SELECT score, avg(score) OVER (PARTITION BY "productId") AS mean FROM ratings) m,
+       (VALUES (5::DOUBLE), (10::DOUBLE)) AS a(r), (VALUES (1.0::DOUBLE), (0.1::DOUBLE), (0.01::DOUBLE)) AS b(g)
+  GROUP BY r, g)"""
+
 MONTH = "CAST(strftime(make_timestamp(\"timestamp\" * 1000000), '%Y%m') AS INTEGER)"
 COUNTS = 'counts AS (SELECT "productId", count(*) AS "count" FROM ratings GROUP BY 1)'
 MONTHS = (
@@ -175,10 +206,24 @@ ORACLES: dict[str, str] = {
     "similar_itemcf": _with(RATINGS, PRODUCTS, AVERAGES, _item_cf(False)) + _hydrate("productId", "itemcf"),
     "tfidf_exact": _with(PRODUCTS, TFIDF)
     + 'SELECT "productId", term, tf, df, floor(weight * 1e9 + 0.5) / 1e9 AS weight FROM weights',
+    "tfidf_hashed": _with(PRODUCTS, HASHED)
+    + 'SELECT "productId", term, tf, df, floor(weight * 1e9 + 0.5) / 1e9 AS weight FROM weights',
+    "content_recs_hashed": _with(PRODUCTS, CONTENT.replace(TFIDF, HASHED), CONTENT_RANKED) + "SELECT * FROM ranked",
     "content_recs": _with(PRODUCTS, CONTENT, CONTENT_RANKED) + "SELECT * FROM ranked",
     "content_recs_top": _with(PRODUCTS, CONTENT, CONTENT_RANKED) + f'SELECT * FROM ranked WHERE "rank" <= {TOP}',
     "similar_content": _with(RATINGS, PRODUCTS, AVERAGES, CONTENT, CONTENT_RANKED)
-    + _hydrate("productId", f'(SELECT * FROM ranked WHERE "rank" <= {TOP})'),
+    + _hydrate("productId", "ranked"),
+    "similar_asked": _with(RATINGS, PRODUCTS, AVERAGES, EVENTS, CONTENT, CONTENT_RANKED)
+    + _hydrate("productId", '(SELECT * FROM ranked WHERE "rank" <= 5 AND "productId" IN (SELECT "productId" FROM ev))'),
+    "similarity_maps": _with(RATINGS, _item_cf(False)) + 'SELECT "productId" AS p1, "rec_productId" AS p2, score FROM itemcf',
+    "als_list_shape": _with(RATINGS) + 'SELECT DISTINCT "userId", true AS good FROM ratings',
+    "rmse_by_cell": _with(RATINGS, CELLS) + "SELECT * FROM cells",
+    "least_cell": _with(RATINGS, CELLS) + "SELECT * FROM cells ORDER BY rmse LIMIT 1",
+    "fine_means": """SELECT l_suppkey, floor(CAST(sum(CAST(floor(l_discount * 1e9 + 0.5) / 1e9 AS DECIMAL(11,9))
+    * CAST(floor(l_extendedprice + 0.5) / 1000 AS DECIMAL(18,9))) AS DOUBLE) / count(*) * 1e9 + 0.5) / 1e9 AS mean
+FROM lineitem GROUP BY 1""",
+    "table_scan": "SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_brand FROM part",
+    "malformed_lines": "SELECT count(*) AS malformed FROM events",
     "dense_cosine_recs": DENSE + "SELECT * FROM ranked",
     "dense_cosine_top": DENSE + 'SELECT * FROM ranked WHERE "rank" <= 5',
     "upsert_ratings": _with(RATINGS, EVENTS)

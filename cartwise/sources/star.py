@@ -12,8 +12,8 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity")
     orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.col("o_custkey").cast("int").alias("userId"),
-        F.col("l_partkey").cast("int").alias("productId"),
+        F.col("o_custkey").cast("bigint").alias("userId"),
+        F.col("l_partkey").cast("bigint").alias("productId"),
         (1 + F.col("l_quantity").cast("int") % 5).cast("double").alias("score"),
         ntz_epoch(F.col("o_orderdate")).alias("timestamp"),
     )
@@ -21,7 +21,7 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/part.parquet").select(
-        F.col("p_partkey").cast("int").alias("productId"),
+        F.col("p_partkey").cast("bigint").alias("productId"),
         F.col("p_name").alias("name"),
         F.lit(None).cast("string").alias("imageUrl"),
         F.col("p_type").alias("categories"),
@@ -32,8 +32,8 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Rating events: the key in ``props`` is the product."""
     return spark.read.parquet(f"{folder}/events.parquet").select(
-        F.col("user_id").cast("int").alias("userId"),
-        F.get_json_object("props", "$.k").cast("int").alias("productId"),
+        F.col("user_id").cast("bigint").alias("userId"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("productId"),
         (1 + F.floor("value").cast("int") % 5).cast("double").alias("score"),
         ntz_epoch(F.col("ts")).alias("timestamp"),
     )
@@ -48,5 +48,5 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/embeddings.parquet").select(
-        F.col("vec_id").cast("int").alias("productId"), F.col("embedding").alias("features")
+        F.col("vec_id").cast("bigint").alias("productId"), F.col("embedding").alias("features")
     )

@@ -50,6 +50,31 @@ def test_user_list_is_the_head_of_all_predictions(ratings, model):
     assert [r["rec_productId"] for r in got] == best
 
 
+def test_rated_products_are_not_offered(ratings, model):
+    rated = {(r["userId"], r["productId"]) for r in ratings.collect()}
+    every = ratings.select("userId").distinct().join(ratings.select("productId").distinct(), how="cross")
+    left = {}
+    for r in model.transform(every).collect():
+        if (r["userId"], r["productId"]) not in rated and r["prediction"] > 0:
+            left.setdefault(r["userId"], []).append((-r["prediction"], r["productId"]))
+    got = {}
+    for r in factors.user_recs(model, k=4, exclude_rated=ratings).orderBy("userId", "rank").collect():
+        got.setdefault(r["userId"], []).append(r["rec_productId"])
+    assert got == {u: [p for _, p in sorted(v)[:4]] for u, v in left.items()}
+
+
+def test_equal_scores_rank_by_product(spark):
+    flat = spark.createDataFrame([(1, 9, 2.0), (1, 3, 2.0), (1, 5, 3.0), (1, 4, -1.0)], "userId long, rec_productId long, score double")
+    rows = factors._ranked(flat, 0.0).orderBy("rank").collect()
+    assert [r["rec_productId"] for r in rows] == [5, 3, 9]
+
+
+def test_lists_do_not_follow_the_number_of_partitions(ratings):
+    lists = [sorted(map(tuple, factors.user_recs(factors.train_als(ratings.repartition(n), iterations=3)).select("userId", "rec_productId", "rank").collect())) for n in (2, 7)]
+    same = len(set(lists[0]) & set(lists[1]))
+    assert same >= 0.98 * len(lists[0])
+
+
 def test_product_lists(model):
     whole = factors.product_recs(model)
     cut = factors.product_recs(model, k=3, block_rows=8)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cartwise.functions import columns as C
@@ -73,3 +74,19 @@ def test_term_bucket_is_seed_42_murmur3(spark):
     # murmur3 x86 32, seed 42, of b"abcd" is -396302900.
     assert row[0] == -396302900 % 800
     assert 0 <= row[1] < 800
+
+
+def test_blank_text_has_no_words_and_control_blanks_are_trimmed(spark):
+    from cartwise.functions.columns import tokens, trim_blanks
+
+    frame = spark.createDataFrame([("  ",), ("",), ("a  b ",), ("\t",)], "t string")
+    assert [r[0] for r in frame.select(tokens(F.col("t"))).collect()] == [[], [], ["a", "", "b"], []]
+    frame = spark.createDataFrame([("\t a b\r\n",), (" x",)], "t string")
+    assert [r[0] for r in frame.select(trim_blanks(F.col("t"))).collect()] == ["a b", " x"]
+
+
+def test_means_keep_three_decimals(spark):
+    from cartwise.functions.columns import exact_mean_product
+
+    frame = spark.createDataFrame([(1.0, 3.337), (0.5, 2.001)], "s double, r double")
+    assert frame.select(exact_mean_product(F.col("s"), F.col("r"))).first()[0] == pytest.approx((3.337 + 1.0005) / 2, abs=1e-12)

@@ -4,11 +4,12 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from cartwise.operators.itemcf import cooccurrence, heavy_users, item_cf
+from cartwise.operators import itemcf
+from cartwise.operators.itemcf import cooccurrence, item_cf
 from cartwise.operators.pairs import mirror, pairs_within
 from cartwise.operators.ranking import pack_recs, similarity_map, top_k, unpack_recs
 
-SCHEMA = "userId int, productId int, score double, timestamp bigint"
+SCHEMA = "userId bigint, productId bigint, score double, timestamp bigint"
 
 
 def _ratings(spark, pairs):
@@ -58,14 +59,20 @@ def test_matches_brute_force_with_hot_keys(spark, chunk, distinct):
 def test_heavy_users_by_blocks_match_brute_force(spark, heavy, block_rows, distinct):
     pairs = _hot_user_sample(7)
     ratings = _ratings(spark, pairs)
-    assert heavy_users(ratings, heavy)[0] == 0
     got = _got(item_cf(ratings, k=5, distinct_users=distinct, chunk=16, heavy=heavy, block_rows=block_rows))
     assert got == _brute(pairs, 5, distinct)
 
 
-def test_heavy_users_are_bounded(spark):
-    ratings = _ratings(spark, _hot_user_sample(7))
-    assert heavy_users(ratings, 0, at_most=3)[0] == 0 and len(heavy_users(ratings, 0, at_most=3)) == 3
+def test_any_number_of_users_may_be_heavy(spark, monkeypatch):
+    monkeypatch.setattr(itemcf, "USER_SLICE", 3)  # several slices in a task
+    pairs = _hot_user_sample(7)
+    assert _got(item_cf(_ratings(spark, pairs), k=5, heavy=0, block_rows=16)) == _brute(pairs, 5, False)
+
+
+def test_wide_ids(spark):
+    pairs = [(u + (1 << 33), p + (1 << 40)) for u, p in _hot_user_sample(7)]
+    for heavy in (5, 10**6):
+        assert _got(item_cf(_ratings(spark, pairs), k=5, heavy=heavy, block_rows=16)) == _brute(pairs, 5, False)
 
 
 def test_input_order_changes_nothing(spark):

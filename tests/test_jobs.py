@@ -46,9 +46,24 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.content_lists(spark, base)
     jobs.offline_lists(spark, base)
     for name, table_schema in (
-        ("ContentBasedProductRecs", schema.PRODUCT_RECS), ("ProductRecs", schema.PRODUCT_RECS),
-        ("UserRecs", schema.USER_RECS),
+        ("ContentBasedProductRecs", schema.RANKED), ("ProductRecs", schema.RANKED), ("UserRecs", schema.USER_RECS),
     ):
-        for row in read_table(spark, base, name, table_schema).collect():
-            scores = [e["score"] for e in row["recs"]]
-            assert scores and scores == sorted(scores, reverse=True)
+        table = read_table(spark, base, name, table_schema)
+        flat = table if table_schema is schema.RANKED else unpack_recs(table, "userId").withColumnRenamed("userId", "productId")
+        lists = {}
+        for row in flat.orderBy("productId", "rank").collect():
+            lists.setdefault(row["productId"], []).append((row["rank"], row["score"]))
+        for entries in lists.values():
+            scores = [s for _, s in entries]
+            assert [r for r, _ in entries] == list(range(1, len(entries) + 1)) and scores == sorted(scores, reverse=True)
+
+
+def test_long_lists_are_stored_whole(spark, tmp_path):
+    products = [f"{p}^name {p}^1^e^i^c^red|{'box' if p % 2 else 'pen'}" for p in range(140)] + ["999^x^1^e^i^c^other|words"]
+    (tmp_path / "products.csv").write_text("\n".join(products) + "\n")
+    (tmp_path / "ratings.csv").write_text("1,2,3.0,1390000000\n")
+    base = str(tmp_path / "tables")
+    jobs.load(spark, str(tmp_path / "products.csv"), str(tmp_path / "ratings.csv"), base)
+    jobs.content_lists(spark, base, buckets=None)
+    longest = read_table(spark, base, "ContentBasedProductRecs", schema.RANKED).groupBy("productId").count().agg({"count": "max"}).first()[0]
+    assert longest > 60
