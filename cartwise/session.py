@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,7 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    # Not local-cluster, whose executors are other processes with folders of their own.
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="cartwise-checkpoint-")
     sc.setCheckpointDir(folder)
