@@ -310,13 +310,20 @@ def _candidates(spark, folder, sim):
 
 
 def stream_candidates(spark, folder):
-    return _candidates(spark, folder, content.content_similarity(star.products(spark, folder)))
+    asked = online.latest_event(star.events(spark, folder)).select("productId")
+    return _candidates(spark, folder, content.AskedContent(star.products(spark, folder)).of(asked))
 
 
 def stream_scores(spark, folder):
-    sim = content.content_similarity(star.products(spark, folder))
-    recents = online.recent_ratings(star.events(spark, folder))
-    return online.stream_scores(_candidates(spark, folder, sim), recents, sim)
+    """Candidates from the asked products' lists, and scores from the (candidate, recent) pairs alone."""
+    shop = content.AskedContent(star.products(spark, folder))
+    events = star.events(spark, folder)
+    candidates = _candidates(spark, folder, shop.of(online.latest_event(events).select("productId")))
+    recents = online.recent_ratings(events)
+    pairs = candidates.select("userId", F.col("candidate").alias("p1")).join(
+        recents.select("userId", F.col("productId").alias("p2")), "userId"
+    )
+    return online.stream_scores(candidates, recents, shop.between(pairs))
 
 
 def stream_recs(spark, folder):
