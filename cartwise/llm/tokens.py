@@ -10,16 +10,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from cartwise.llm.common import map_texts, slices
+from cartwise.llm.common import map_texts, ship, slices
 
 MAGIC, CHUNK, RANK = b"DAC1", 8, 512  # bits of a level; bits of a bitmap that one entry of its rank directory covers
 SEGMENT = 1 << 20  # tokens of a segment, at least; a segment ends with a document
 END = 2  # id after each document
-CACHE = 500_000  # words a task remembers before it starts anew; a matter of speed only
+CACHE = 150_000  # words in each of the two generations a task remembers; a matter of speed only
 SCHEMA = "part int, seq int, first long, n_tokens long, doc_ids array<bigint>, doc_tokens array<bigint>, payload binary"
 
 
@@ -33,7 +34,7 @@ def pack(ids: np.ndarray) -> bytes:
     is one entry and a short count away. Layout: magic, number of levels, then for each level its length, its bytes,
     its bitmap and its directory (32-bit counts); the last level has no bitmap.
     """
-    values = np.asarray(ids, np.uint32)
+    values = ids if ids.dtype == np.uint16 else np.asarray(ids, np.uint32)
     levels = []
     while True:
         more = values > 0xFF
@@ -88,20 +89,30 @@ class Segment:
 
     def all(self) -> np.ndarray:
         """Every id in order."""
-        ids = np.zeros(len(self), np.uint32)
-        where = np.arange(len(self))
+        ids, where = self.levels[0][0].astype(np.uint32), None
         for shift, (low, bits, _) in enumerate(self.levels):
-            ids[where] |= low.astype(np.uint32) << np.uint32(CHUNK * shift)
+            if shift:
+                ids[where] |= low.astype(np.uint32) << np.uint32(CHUNK * shift)
             if bits is not None:
-                where = where[np.unpackbits(bits, count=len(low), bitorder="little").astype(bool)]
+                on = np.flatnonzero(np.unpackbits(bits, count=len(low), bitorder="little"))
+                where = where[on] if shift else on
         return ids
 
 
 # --- the tokenizer ---------------------------------------------------------------------------------------------------
 
-# A space or line break that stands alone before a letter starts a token of its own or of its word, whatever is before
-# it, so a text cut there is encoded piece by piece. Texts with other white space are encoded at a time.
-NOT_ALONE = re.compile(r"[ \n](?:\s|\Z)")
+TOGETHER = 10_000  # new words that the library is given as one text
+SLICE = 12 << 20  # bytes of text coded at once
+
+
+def _joined(piece: str) -> bool:
+    """Does white space run on behind the space or line break that the text was cut at?
+
+    One that stands alone before a letter starts a token of its own or of its word, whatever is before it, so a text
+    cut there is encoded piece by piece. Texts with other white space are encoded at a time.
+    """
+    after = piece[1:2] if piece[:1] == "\n" else piece[:1]
+    return piece[:1] != "\0" and (not after or after.isspace())
 
 
 class Encoder:
@@ -123,31 +134,55 @@ class Encoder:
         for label, token in vocab.items():
             self.lengths[token] = len(label)
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
+        # Words met lately, and those of the time before: what comes again moves to the first, the rest is forgotten.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        pieces: list[list[str] | None] = []
-        new: set[str] = set()
-        whole: list[str] = []
-        for text in texts:
-            if not text or NOT_ALONE.search(text) or (self.special and self.special.search(text)):
-                pieces.append(None)
-                whole.append(text)
-            else:
-                parts = text.replace("\n", " \n").split(" ")
-                parts[0] = "\0" + parts[0]  # no space before it
-                pieces.append(parts)
-                new.update(set(parts).difference(cache))
-        self._learn([p for p in new if p[0] != "\0"])
+        out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
+        special = self.special.search if self.special else lambda text: None
+        whole = [i for i, text in enumerate(texts) if not text or special(text)]
+        held = set(whole)
+        cut = [i for i in range(len(texts)) if i not in held]
+        if cut:
+            # A piece without the mark has a space before it, but for those that begin with a line break.
+            marked = pa.array(["\0" + texts[i] for i in cut], pa.large_string())
+            parts = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+            coded = parts.flatten().dictionary_encode()
+            pieces, index, offsets = coded.dictionary.to_pylist(), coded.indices.to_numpy(), parts.offsets.to_numpy()
+            joined = [code for code, piece in enumerate(pieces) if not piece or (piece[0] <= " " or piece[0] > "~") and _joined(piece)]
+            made = self._pieces(pieces, joined)
+            flat = np.frombuffer(b"".join(made), self.dtype)
+            size = np.fromiter(map(len, made), np.int64, len(made)) // flat.itemsize
+            begin = np.cumsum(size) - size
+            each = size[index]
+            ends = np.cumsum(each)
+            ids = flat[np.arange(ends[-1]) + np.repeat(begin[index] - ends + each, each)]
+            for place, part in zip(cut, np.split(ids, ends[offsets[1:-1] - 1])):
+                out[place] = part
+            if joined:
+                odd = np.zeros(len(pieces), bool)
+                odd[joined] = True
+                whole += [cut[i] for i in np.flatnonzero(np.logical_or.reduceat(odd[index], offsets[:-1]))]
+        for place, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[place] = np.frombuffer(ids, self.dtype)
+        return out
+
+    def _pieces(self, pieces: list[str], joined: list[int]) -> list[bytes]:
+        """Ids of each piece; none for those that the text around them joins."""
+        if len(self.cache) > CACHE:
+            self.cache, self.older = {}, self.cache
+        cache, older = self.cache, self.older
+        new = {p for p in pieces if p not in cache}.difference([pieces[i] for i in joined])
+        known = new & older.keys()
+        cache.update(zip(known, map(older.__getitem__, known)))
+        new -= known
         first = [p for p in new if p[0] == "\0"]
-        for piece, made in zip(first, self._ids([p[1:] for p in first])):
-            cache[piece] = made
-        rest = iter(self._ids(whole))
-        find = cache.__getitem__
-        return [np.frombuffer(next(rest) if parts is None else b"".join(map(find, parts)), self.dtype) for parts in pieces]
+        cache.update(zip(first, self._ids([p[1:] for p in first])))
+        new.difference_update(first)
+        self._learn(list(new))
+        made = [cache.get(p, b"") for p in pieces] if joined else list(map(cache.__getitem__, pieces))
+        return made
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         if not texts:
@@ -156,16 +191,14 @@ class Encoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in made]
 
     def _learn(self, pieces: list[str]) -> None:
-        if not pieces:
-            return
-        shown = [p if p[0] == "\n" else " " + p for p in pieces]
-        ids = np.array(self.own.encode("".join(shown), add_special_tokens=False).ids, self.dtype)
-        ends = np.cumsum(np.fromiter((len(s.encode()) for s in shown), np.int64, len(shown)))
-        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-        raw, width, begin = ids.tobytes(), ids.itemsize, 0
-        for piece, cut in zip(pieces, (cuts * width).tolist()):
-            self.cache[piece] = raw[begin:cut]
-            begin = cut
+        for start in range(0, len(pieces), TOGETHER):
+            part = pieces[start:start + TOGETHER]
+            shown = [p if p[0] == "\n" else " " + p for p in part]
+            ids = np.array(self.own.encode_batch_fast(["".join(shown)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, shown)), np.int64, len(shown)))
+            cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * ids.itemsize).tolist()
+            raw = ids.tobytes()
+            self.cache.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
 
 
 @lru_cache(maxsize=1)
@@ -182,6 +215,7 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
     come first. A segment is a Parquet row: its place in its part, the ids and token counts of its documents, and the
     packed codes. Null text counts as empty, a document of the end id alone.
     """
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
 
@@ -198,7 +232,7 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
                        pa.array([counts], pa.list_(pa.int64())), pa.array([pack(np.concatenate(ids))], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SCHEMA.split(", ")])
 
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE):
             for name, made in zip(piece.column("doc_id").to_pylist(), coder.encode(piece.column("text").to_pylist())):
                 ids.append(np.append(made, np.array([END], made.dtype)))
                 names.append(name)
