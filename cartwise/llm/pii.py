@@ -31,7 +31,7 @@ TAGS = 1 + 2 * len(KINDS)  # outside, then first and further letter of each kind
 LETTERS = "\n\t" + "".join(map(chr, range(32, 127)))
 PAD, OTHER_LETTER, OTHER = len(LETTERS), len(LETTERS) + 1, len(LETTERS) + 2
 CODES = len(LETTERS) + 3
-DECODE = 4096  # windows decoded at once
+DECODE = 256  # windows decoded at once, which bounds the memory of texts full of digits
 
 Span = tuple[int, int, int]  # kind, start, end (exclusive), in code points
 
