@@ -15,20 +15,24 @@ HALF, LOW = 32, 0xFFFFFFFF
 BLOCK = 255  # so many bits add up in one byte
 
 
-def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of one text; null or no words gives 0."""
+def shingles(text: bytes | None, size: int) -> np.ndarray:
+    """The hashes of all runs of ``size`` words, of a shorter text that of the whole; null or no words gives none."""
     words = text.lower().split() if text else []  # bytes: ASCII letters and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     if len(words) <= size:
-        hashes = [xxhash.xxh64_intdigest(line, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-size] + 1))
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1:].tolist())]
-    return _majority(np.array(hashes, np.uint64))
+        return np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-size] + 1))
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1:].tolist())], np.uint64)
+
+
+def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of one text; null or no words gives 0."""
+    hashes = shingles(text, size)
+    return _majority(hashes) if len(hashes) else 0
 
 
 def _majority(hashes: np.ndarray) -> int:
