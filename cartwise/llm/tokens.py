@@ -141,7 +141,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
         special = self.special.search if self.special else lambda text: None
-        whole = [i for i, text in enumerate(texts) if not text or special(text)]
+        whole = [i for i, text in enumerate(texts) if not text or "\0" in text or special(text)]  # NUL marks first pieces
         held = set(whole)
         cut = [i for i in range(len(texts)) if i not in held]
         if cut:
