@@ -283,8 +283,9 @@ def _written(spans: list[Span], numbers: bool = False) -> str:
 def fit(docs: DataFrame, windows: int = TRAIN_WINDOWS) -> Tagger:
     """A tagger fitted on ``windows`` pieces of text at most, those of the lowest hash, labelled by the patterns.
 
-    Pieces are counted by the first digits of their hash, at most 4096 numbers, so that the driver gets only the
-    buckets it needs. Besides, phone numbers and cards among them are shown once more in forms that the patterns do not take.
+    Pieces are counted by the first digits of their hash, at most 4096 numbers, so that only the buckets needed are
+    looked at. Of those Spark makes the cut, and the driver gets ``windows`` rows: the cut is written first, since a
+    limit that is collected sends the lowest rows of every task there. Besides, phone numbers and cards among them are shown once more in forms that the patterns do not take.
     """
     pieces = map_texts(docs.select(F.col("text").cast("binary").alias("text")).where(F.col("text").isNotNull()),
                        "piece string, spans string, place string", _sample_kernel)
@@ -296,8 +297,8 @@ def fit(docs: DataFrame, windows: int = TRAIN_WINDOWS) -> Tagger:
         if room <= 0:
             most = bucket + "g"
             break
-    rows = pieces.where(F.col("place") < most).dropDuplicates(["place"]).collect()
-    rows = sorted(rows, key=lambda r: r.place)[:windows]
+    lowest = pieces.where(F.col("place") < most).dropDuplicates(["place"]).orderBy("place").limit(windows)
+    rows = sorted(stored(lowest).collect(), key=lambda r: r.place)
     examples = []
     for row in rows:
         spans = [tuple(map(int, part.split(":"))) for part in row.spans.split(",") if part]
