@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, langid, lattice, licenses, mixing, pii, repeats, rules, simhash, tokens
+from cartwise.llm import bpe, bytebpe, divergence, infill, langid, lattice, licenses, mixing, pii, repeats, rules, simhash, tokens
 from cartwise.llm.common import scratch, table
 
-ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle(), "op8_lattice": lattice.ORACLE}
+ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle(), "op8_lattice": lattice.ORACLE,
+                           "op11_divergence": divergence.ORACLE, "op12_infill": infill.ORACLE}
 
 
 def op1_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,6 +58,18 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(table(spark, folder, "documents"))
+
+
+def op13_bytebpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bytebpe.digests(table(spark, folder, "documents"), public_tokenizers.path(bytebpe.FILE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokens": op1_tokens,
     "op2_licenses": op2_licenses,
@@ -68,4 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice": op8_lattice,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_divergence": op11_divergence,
+    "op12_infill": op12_infill,
+    "op13_bytebpe": op13_bytebpe,
 }
