@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,9 +23,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new path in the shared folder; inside :func:`cleared` it is deleted when the scope ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, the scratch tables made inside. Whatever is made of them must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a table of the shared folder; one that is not there is no fault."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwise.llm.common import carried, map_texts, stored, with_row
 from cartwise.llm.graph import components
@@ -60,13 +60,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_texts(docs.select("doc_id", F.col("text").cast("binary").alias("text")), "doc_id long, fp long", _kernel)
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """All pairs of distinct fingerprints at 1 or 2 differing bits, as ``a``, ``b``, found by multi-index hashing.
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """All pairs of distinct fingerprints at 1 to ``radius`` differing bits, as ``a``, ``b``, found by multi-index hashing.
 
-    A fingerprint is two segments of 32 bits; of two that differ in at most 2 bits, one segment differs in at
+    A fingerprint is two segments of 32 bits; of two that differ in at most 3 bits, one segment differs in at
     most 1. Each segment is a table; a fingerprint looks up its own segment and the 32 one bit away. A pair one
     bit apart is met from both sides, so only the side whose bit is 0 looks, which halves the probes.
     """
+    if not 0 <= radius <= 3:
+        raise ValueError("two segments and a ball of one bit find pairs of up to 3 bits")
     fp = F.col("fp")
     table = None
     probe = None
@@ -84,7 +86,7 @@ def links(fps: DataFrame) -> DataFrame:
         table = rows if table is None else table.union(rows)
         probe = looks if probe is None else probe.union(looks)
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return probe.join(table, ["seg", "key"]).where((F.col("a") != F.col("b")) & (apart <= RADIUS)).select("a", "b")
+    return probe.join(table, ["seg", "key"]).where((F.col("a") != F.col("b")) & (apart <= radius)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -110,25 +112,28 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def survivors(docs: DataFrame) -> DataFrame:
+def survivors(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The columns of ``docs`` for one row of each component: its smallest doc_id, of equal ids the lowest text hash.
 
-    Of rows with one id and one text any one stays. Rows of a component whose ids are all null count as ids alike.
+    Shingles are of ``size`` words, links of up to ``radius`` bits. Of rows with one id and one text any one stays. Rows
+    of a component whose ids are all null count as ids alike; null, empty and blank texts are one component. An empty
+    table gives no rows. Which rows stay is settled on ids and hashes; only then are whole rows joined, once.
     """
     held = carried(docs, docs.columns)
-    marked = stored(map_texts(held, with_row(held, "fp long"), _keeping_kernel))
-    ids = marked.select(F.col("row.doc_id").alias("doc_id"), "fp")
-    classes = stored(ids.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    grouped = components(links(classes))
-    of = classes.join(grouped, classes.fp == grouped.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    order = Window.partitionBy("root").orderBy(F.col("row.doc_id").asc_nulls_last(), F.xxhash64("row.text"))
-    ranked = marked.join(of, "fp").withColumn("place", F.row_number().over(order)).where("place = 1")
-    return ranked.select("row.*")
-
-
-def _keeping_kernel():
+    # The place of a row is fixed by the table it is written to.
+    marked = stored(map_texts(held, with_row(held, "fp long"), _keeping_kernel, size)
+                    .withColumn("place", F.monotonically_increasing_id()))
+    first = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row.text"), "place")
+    classes = stored(marked.groupBy("fp").agg(F.min(first).alias("low")))
+    grouped = components(links(classes, radius))
+    of = classes.join(grouped, classes.fp == grouped.node, "left").select(F.coalesce("root", "fp").alias("root"), "low")
+    stay = of.groupBy("root").agg(F.min("low")["place"].alias("place"))
+    return marked.join(stay.select("place"), "place", "left_semi").select("row.*")
+
+
+def _keeping_kernel(size: int):
     def step(batch: pa.RecordBatch) -> dict:
-        made = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
+        made = np.array([fingerprint(t, size) for t in batch.column("text").to_pylist()], np.uint64)
         return {"row": batch.column("row"), "fp": made.view(np.int64)}
 
     return step

@@ -297,6 +297,18 @@ def test_near_duplicates_against_all_pairs(spark, texts):
     assert got == {i: (f"{fp[i]:016x}", want[i]) for i in docs}
 
 
+@pytest.mark.parametrize("size, radius", [(simhash.SHINGLE, simhash.RADIUS), (2, 3), (4, 0)])
+def test_one_document_of_each_component_stays(spark, texts, size, radius):
+    """The pipeline's stage with its settings, and others, against all pairs: the smallest id of each component."""
+    extra = "one two three four five six seven eight nine ten " * 40
+    docs = {i: r.text for i, r in texts.items()} | {9000 + k: extra + f"end{k}" for k in range(60)} | {9990: "", 9991: " \t"}
+    fp = {i: simhash.fingerprint(t.encode(), size) for i, t in docs.items()}
+    want = groups(sorted(docs), lambda a, b: (fp[a] ^ fp[b]).bit_count() <= radius)
+    table_ = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    made = simhash.survivors(table_, size, radius).collect()
+    assert sorted((r.doc_id, r.text) for r in made) == sorted((i, docs[i]) for i in docs if want[i] == i)
+
+
 def test_links_of_planted_distances(spark):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(40)]

@@ -1,11 +1,13 @@
 """Every operator on odd rows, on an empty table, and with columns whose names clash with its own."""
 
+import os
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from cartwise.llm import bpe, langid, lattice, licenses, mixing, pii, repeats, rules, simhash, tokens
-from cartwise.llm.common import scratch
+from cartwise.llm.common import _scopes, cleared, scratch
 
 from .conftest import ODD
 
@@ -82,6 +84,14 @@ def test_one_of_each_group_stays(docs_of):
     assert {i for i, _ in made} == {1, 4, 5, 6, 7}
 
 
+def test_tables_made_on_the_way_are_deleted(spark, docs_of):
+    with cleared(spark):
+        kept = sorted(r.doc_id for r in simhash.survivors(docs_of(ODD)).collect())
+        inside = [p for p in _scopes[-1]]
+        assert inside and all(os.path.exists(p) for p in inside)
+    assert kept == [1, 4, 5, 6, 7] and not any(os.path.exists(p) for p in inside) and not _scopes
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0], 0), (2, [1.0, 0.01], 0), (3, [1.0, 0.0], 1), (4, None, 0), (5, [0.0, 0.0], 0), (6, [1.0, None], 0),
             (7, [float("nan"), 1.0], 0), (8, [1.0, 0.0], None), (None, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (9, [1.0, 0.0, 0.0], 0),
