@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import bpe, mixing, overlap, pii, rules
-from cartwise.llm.common import stored, table
+from cartwise.llm import bpe, mixing, pii, rules, simhash
+from cartwise.llm.common import cleared, delete, scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +15,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8): the one of the smallest id."""
-    return overlap.survivors(docs)
+    """One document of each group of near-duplicates, the one of the smallest id: fingerprints of three-word shingles
+    that lie 2 bits or fewer apart are linked."""
+    return simhash.survivors(docs, simhash.SHINGLE, simhash.RADIUS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +43,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns but the last is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for place, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if place < len(STAGES) - 1:
-            docs = stored(docs)
-    return docs
+    """All stages over ``documents``; what each returns but the last is written as Parquet and read again.
+
+    Tables that a stage makes on its way, and its input, are deleted once its result is written. The cases of nulls,
+    empty texts, repeated rows and other columns are those that each stage's operator states.
+    """
+    docs, path = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        before, path = path, scratch(spark)
+        with cleared(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            delete(spark, before)
+    return STAGES[-1][1](spark, docs, sf_dir)
