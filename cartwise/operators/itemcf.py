@@ -13,6 +13,7 @@ from cartwise.functions.columns import cooccurrence_norm
 from cartwise.operators.pairs import CHUNK, mirror, pairs_within
 from cartwise.operators.ranking import top_k
 from cartwise.operators.vectors import PAIR_SCHEMA, matches
+from cartwise.sources.scratch import stored
 
 # The kernel travels inside the job, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,22 +35,18 @@ def counted_ratings(ratings: DataFrame, distinct_users: bool = False) -> DataFra
     return counted.withColumn("n", F.least("n", F.lit(1))) if distinct_users else counted
 
 
-def basket(ratings: DataFrame, distinct_users: bool = False) -> DataFrame:
+def _with_totals(counted: DataFrame) -> DataFrame:
     """(userId, productId, n, total): counted ratings with the product's number of ratings.
 
     Totals travel with the items: joining them to the pairs would shuffle the
     far larger pair relation twice more.
     """
-    counted = counted_ratings(ratings, distinct_users)
-    totals = counted.groupBy("productId").agg(F.sum("n").alias("total"))
-    return counted.join(totals, "productId")
+    return counted.join(counted.groupBy("productId").agg(F.sum("n").alias("total")), "productId")
 
 
-def _sizes(ratings: DataFrame, distinct_users: bool) -> DataFrame:
-    """(userId, _size): products per user. Reads n, as the other uses of the counted
-    ratings do, so that all share one exchange."""
-    counted = counted_ratings(ratings, distinct_users)
-    return counted.groupBy("userId").agg(F.sum(F.least("n", F.lit(1))).alias("_size"))
+def _sizes(counted: DataFrame) -> DataFrame:
+    """(userId, _size): products per user."""
+    return counted.groupBy("userId").agg(F.count("*").alias("_size"))
 
 
 def cooccurrence(ratings: DataFrame, distinct_users: bool = False, chunk: int = CHUNK) -> DataFrame:
@@ -59,9 +56,8 @@ def cooccurrence(ratings: DataFrame, distinct_users: bool = False, chunk: int =
     left out, as every list drops them. The whole relation is the answer here;
     ``item_cf`` does not write it out for heavy users.
     """
-    pairs = pairs_within(
-        basket(ratings, distinct_users), "userId", "productId", ["n", "total"], chunk, _sizes(ratings, distinct_users)
-    )
+    counted = stored(counted_ratings(ratings, distinct_users), "counted")
+    pairs = pairs_within(_with_totals(counted), "userId", "productId", ["n", "total"], chunk, _sizes(counted))
     return pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(
         F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
         F.max("a.total").alias("count1"),
@@ -90,11 +86,20 @@ def item_cf(
     ``heavy`` products would give pairs by the square of that; however many they
     are, theirs are summed as matrix products over blocks of products, which
     hand on k rows per product and block. Both ways are exact, and which one a
-    user takes is a join in the plan.
+    user takes is a join in the plan; where no user is heavy, a question answered
+    from the counted ratings alone, the plan has no second way.
     """
-    sizes, items = _sizes(ratings, distinct_users), ["n", "total"]
-    over = sizes.filter(F.col("_size") > heavy).select("userId", F.lit(True).alias("heavy"))
-    marked = basket(ratings, distinct_users).join(over, "userId", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
+    counted, items = stored(counted_ratings(ratings, distinct_users), "counted"), ["n", "total"]
+    sizes = _sizes(counted)
+    over = sizes.filter(F.col("_size") > heavy).select("userId")
+    norm = F.max(cooccurrence_norm(F.col("a.total"), F.col("b.total"))).alias("norm")
+    cocount = F.sum(F.col("a.n") * F.col("b.n")).alias("cocount")
+    both = [F.col("a.id").alias("p1"), F.col("b.id").alias("p2")]
+    if over.isEmpty():
+        pairs = pairs_within(_with_totals(counted), "userId", "productId", items, chunk, sizes)
+        return top_k(_both_ways(pairs.groupBy(*both).agg(cocount, norm)), ["productId"], tie="rec_productId", k=k)
+    marked = _with_totals(counted).join(over.withColumn("heavy", F.lit(True)), "userId", "left").withColumn(
+        "heavy", F.coalesce("heavy", F.lit(False)))
     dense = marked.filter("heavy").drop("heavy")
     touched = dense.select("productId").distinct().withColumn("touched", F.lit(True))
     light = marked.filter("not heavy").drop("heavy").join(touched, "productId", "left").withColumn(
@@ -103,11 +108,7 @@ def item_cf(
     # A pair whose products no heavy user rated both is complete from the light
     # side. All others meet the heavy counts in the block kernel.
     pairs = pairs_within(light, "userId", "productId", [*items, "touched"], chunk, sizes.filter(F.col("_size") <= heavy))
-    summed = pairs.groupBy(F.col("a.id").alias("p1"), F.col("b.id").alias("p2")).agg(
-        F.sum(F.col("a.n") * F.col("b.n")).alias("cocount"),
-        F.max(cooccurrence_norm(F.col("a.total"), F.col("b.total"))).alias("norm"),
-        F.bool_and(F.col("a.touched") & F.col("b.touched")).alias("inside"),
-    )
+    summed = pairs.groupBy(*both).agg(cocount, norm, F.bool_and(F.col("a.touched") & F.col("b.touched")).alias("inside"))
     near = _block_scores(dense, summed.filter("inside"), touched, k, block_rows).toDF("productId", "rec_productId", "score")
     return top_k(
         _both_ways(summed.filter("not inside")).unionByName(near), ["productId"], tie="rec_productId", k=k

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from cartwise.sources.scratch import stored
 
 
 def top_k(
@@ -50,3 +52,21 @@ def similarity_map(sim: DataFrame, k: int) -> DataFrame:
     """(p1, map<p2, score>) of the first ``k`` partners, for callers that want maps."""
     best = top_k(sim, ["p1"], tie="p2", k=k)
     return best.groupBy("p1").agg(F.map_from_entries(F.collect_list(F.struct("p2", "score"))).alias("similar"))
+
+
+def global_rank(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Add ``rank``, the place of each row, from 1, in one order of the whole table.
+
+    No task sees more than its range of the order: rows are split by range, sorted and numbered within it, and the
+    numbers move up by the rows of the ranges before, a sum over as many rows as there are ranges. The
+    numbered rows are written, so that every use sees one numbering; ``df`` is read twice, once for the
+    ranges. Order it by columns that tell rows apart, or equal rows get their places by chance.
+    """
+    low = (1 << 33) - 1  # the bits that number a partition's rows
+    numbered = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND(F.lit(low)).alias("_row")), "ranked")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy("_range").agg(F.count("*").alias("_size")).withColumn(
+        "_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    return numbered.join(F.broadcast(sizes.drop("_size")), "_range").withColumn(
+        "rank", F.col("_before") + F.col("_row") + 1).drop("_range", "_row", "_before")

@@ -7,17 +7,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from cartwise import schema
 from cartwise.functions.columns import (
     RATING_PREFIX, cooccurrence_similarity, epoch_seconds, exact_mean_product, half_score, quantise, rating_event, yearmonth,
 )
 from cartwise.operators import content, factors, itemcf, online, serve, stats, vectors
-from cartwise.operators.ranking import pack_recs, similarity_map
+from cartwise.operators.products import Catalogue
+from cartwise.operators.ranking import global_rank, pack_recs, similarity_map, top_k, unpack_recs
 from cartwise.sources import star
-from cartwise.sources.files import read_table
+from cartwise.sources.files import parse_products, parse_ratings, read_table, write_table
 from cartwise.sources.keyed import replace_by_key
-from cartwise.streaming.messages import count_malformed, extract_rating_events, parse_rating_events
+from cartwise.sources.scratch import scratch_path, stored
+from cartwise.streaming import live
+from cartwise.streaming.messages import (
+    count_malformed, extract_rating_events, parse_rating_events, read_line_stream,
+)
 
 TOP = 20
+WIDE = 4_294_967_311  # makes ids of more than 32 bits
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -58,6 +65,20 @@ def sql_monthly(spark, folder):
     )
 
 
+def rate_more_ranked(spark, folder):
+    """Ratings per product with the place of each in the whole order."""
+    return global_rank(stored(stats.rate_more_products(star.ratings(spark, folder))), [F.desc("count"), F.asc("productId")])
+
+
+def rate_more_recently_ranked(spark, folder):
+    months = stored(stats.rate_more_recently(star.ratings(spark, folder)))
+    return global_rank(months, [F.desc("yearmonth"), F.desc("count"), F.asc("productId")])
+
+
+def average_ranked(spark, folder):
+    return global_rank(stored(_averages(spark, folder)), [F.desc("avg"), F.asc("productId")])
+
+
 def distinct_ids(spark, folder):
     """Distinct users and products, by kind."""
     ratings = star.ratings(spark, folder)
@@ -206,20 +227,86 @@ def als_unrated(spark, folder):
     return factors.user_recs(factors.train_als(ratings), exclude_rated=ratings)
 
 
-def als_list_shape(spark, folder):
-    """What any engine's user lists must show: per user, if ranks run from 1 without a gap, scores fall and stay
-    above 0, products are rated ones, none twice and 20 at most. One row per rating user."""
-    ratings = star.ratings(spark, folder)
-    lists = factors.user_recs(factors.train_als(ratings))
+def _shape(lists, ratings):
+    """Per rating user the length of the list, and if it is what any engine's must be: ranks from 1 without a gap, scores
+    that fall and stay above 0, rated products, none twice."""
     known = ratings.select(F.col("productId").alias("rec_productId"), F.lit(True).alias("known")).distinct()
     before = F.lag("score").over(Window.partitionBy("userId").orderBy("rank"))
     checked = lists.join(known, "rec_productId", "left").withColumn("before", before)
     good = (F.col("score") > 0) & F.coalesce(F.col("score") <= F.col("before"), F.lit(True)) & F.coalesce("known", F.lit(False))
     whole = checked.groupBy("userId").agg(
-        (F.bool_and(good) & (F.max("rank") == F.count("*")) & (F.min("rank") == 1) & (F.count("*") <= TOP)
-         & (F.count_distinct("rec_productId") == F.count("*"))).alias("good")
+        F.count("*").alias("length"),
+        (F.bool_and(good) & (F.max("rank") == F.count("*")) & (F.min("rank") == 1)
+         & (F.count_distinct("rec_productId") == F.count("*"))).alias("good"),
     )
-    return ratings.select("userId").distinct().join(whole, "userId", "left").withColumn("good", F.coalesce("good", F.lit(True)))
+    return ratings.select("userId").distinct().join(whole, "userId", "left").select(
+        "userId", F.coalesce("length", F.lit(0)).alias("length"), F.coalesce("good", F.lit(False)).alias("good"))
+
+
+def als_list_shape(spark, folder):
+    """The shape of every user's list. Twenty predictions above 0 are there for each, so each list must have twenty."""
+    ratings = star.ratings(spark, folder)
+    return _shape(factors.user_recs(factors.train_als(ratings)), ratings)
+
+
+def als_unrated_shape(spark, folder):
+    """The same of the lists without rated products, and that none of them is rated."""
+    ratings = star.ratings(spark, folder)
+    lists = stored(factors.user_recs(factors.train_als(ratings), exclude_rated=ratings), "lists")
+    pairs = lists.select("userId", F.col("rec_productId").alias("productId"))
+    offered = pairs.join(ratings.select("userId", "productId").distinct(), ["userId", "productId"], "left_semi")
+    bad = offered.select("userId").distinct().withColumn("bad", F.lit(True))
+    shape = _shape(lists, ratings).join(bad, "userId", "left")
+    return shape.select("userId", "length", (F.col("good") & F.col("bad").isNull()).alias("good"))
+
+
+def als_optimality(spark, folder):
+    """Are each user's factors the least squares solution that the training must end in? With the ratings they rest on."""
+    ratings = star.ratings(spark, folder)
+    found = factors.residuals(factors.train_als(ratings), ratings)
+    return found.select("userId", "ratings", (F.col("residual") < 1e-4).alias("good"))
+
+
+def als_wide_ids(spark, folder):
+    """The same with ids beyond 32 bits, which go through a dictionary and come back."""
+    ratings = star.ratings(spark, folder).withColumn("userId", F.col("userId") * WIDE).withColumn("productId", -F.col("productId") * WIDE)
+    found = factors.residuals(factors.train_als(ratings), ratings)
+    return found.select("userId", "ratings", (F.col("residual") < 1e-4).alias("good"))
+
+
+def als_rmse_joined(spark, folder):
+    """Errors the grid search reports, against those of predictions joined from the factors, with the ratings of both parts."""
+    ratings = star.ratings(spark, folder)
+    grid = factors.tune_als(ratings, ranks=(3, 6), regs=(0.1,), iterations=5)
+    train, held = factors.split(ratings)
+    every = train.unionByName(held).agg(F.count("*").alias("ratings"))
+    made = None
+    for rank in (3, 6):
+        error = factors.rmse(factors.predictions(factors.train_als(train, rank, 5, 0.1), held))
+        one = error.select(F.lit(rank).alias("rank"), F.col("rmse").alias("joined"))
+        made = one if made is None else made.unionByName(one)
+    return grid.join(made, "rank").crossJoin(every).select(
+        "rank", "iterations", "reg", "ratings", (F.abs(F.col("rmse") - F.col("joined")) < 1e-3).alias("agree"))
+
+
+def _vector_lists(spark, folder):
+    """Lists any engine makes alike: vectors as users and as products, each user having rated itself and the next."""
+    made = factors.Factors(star.vectors(spark, folder).withColumnRenamed("productId", "userId"), star.vectors(spark, folder))
+    rated = made.users.select("userId", F.explode(F.array("userId", F.col("userId") + 1)).alias("productId"))
+    return Catalogue(made.products, block_rows=200).top(made.users, TOP, 0.0, rated, user_rows=300)
+
+
+def factor_top(spark, folder):
+    """The 20 best inner products above 0, rated ones left out, met in blocks of 200."""
+    return _vector_lists(spark, folder)
+
+
+def offline_read(spark, folder):
+    """Product rows of such stored lists, as the server reads a user's."""
+    path = scratch_path(spark, "offline")
+    write_table(pack_recs(_vector_lists(spark, folder), "userId", "rec_productId"), path, "UserRecs")
+    lists = read_table(spark, path, "UserRecs", schema.USER_RECS)
+    return serve.for_user(lists, star.products(spark, folder), _averages(spark, folder)).drop("imageUrl")
 
 
 def _predicted(spark, folder):
@@ -234,14 +321,7 @@ def _predicted(spark, folder):
 
 def rmse_by_cell(spark, folder):
     """Error of each cell of a grid of given predictions."""
-    predicted = _predicted(spark, folder)
-    one = None
-    for rank in (5, 10):
-        for reg in (1.0, 0.1, 0.01):
-            mine = factors.rmse(predicted.filter((F.col("rank") == rank) & (F.col("reg") == reg))).select(
-                F.lit(rank).alias("rank"), F.lit(50).alias("iterations"), F.lit(reg).alias("reg"), quantise(F.col("rmse")).alias("rmse"))
-            one = mine if one is None else one.unionByName(mine)
-    return one
+    return factors.rmse(_predicted(spark, folder), by=["rank", "iterations", "reg"]).withColumn("rmse", quantise(F.col("rmse")))
 
 
 def least_cell(spark, folder):
@@ -263,10 +343,55 @@ def table_scan(spark, folder):
 
 
 def malformed_lines(spark, folder):
-    """How many log lines have a prefix and nothing after it: as many as there are events."""
-    return count_malformed(star.event_lines(spark, folder).unionByName(
-        star.events(spark, folder).select(F.concat(F.lit("INFO "), F.lit(RATING_PREFIX), F.lit(" \t")).alias("value"))
-    ))
+    """How many log lines have a prefix and nothing after it; every third user's have, every fifth user's lines have no prefix."""
+    payload = F.when(F.col("userId") % 3 == 0, " \t").when(F.col("userId") % 5 == 0, None).otherwise("1|2|3.0|4")
+    prefix = F.lit("INFO " + RATING_PREFIX)
+    cut = star.events(spark, folder).select(F.coalesce(F.concat(prefix, payload), F.lit("INFO login")).alias("value"))
+    return count_malformed(star.event_lines(spark, folder).unionByName(cut))
+
+
+def _rating_lines(spark, folder):
+    """The ratings as file lines: scores of every seventh line are no number, of every eleventh product the time is
+    missing, of every fifth user it is in milliseconds, of every third the score is quoted."""
+    score = F.when(F.col("productId") % 7 == 0, "high").when(F.col("userId") % 3 == 0, F.concat(F.lit('"'), "score", F.lit('"'))).otherwise(
+        F.col("score").cast("string"))
+    time = F.when(F.col("userId") % 5 == 0, F.col("timestamp") * 1000 + 123).otherwise(F.col("timestamp"))
+    line = F.concat_ws(",", "userId", "productId", score, F.when(F.col("productId") % 11 != 0, time))
+    return star.ratings(spark, folder).select(line.alias("value"))
+
+
+def rating_scan(spark, folder):
+    return parse_ratings(_rating_lines(spark, folder)).rows
+
+
+def rating_rejects(spark, folder):
+    return parse_ratings(_rating_lines(spark, folder)).rejects
+
+
+def _product_lines(spark, folder):
+    """The products as file lines, names with a stray quote; every seventh has no number, every eleventh no tags, every
+    fifth a field more."""
+    number = F.when(F.col("productId") % 7 == 0, F.concat(F.lit("x"), "productId")).otherwise(F.col("productId").cast("string"))
+    more = F.when(F.col("productId") % 5 == 0, "more")
+    tags = F.when(F.col("productId") % 11 != 0, F.concat_ws("^", F.lit("img"), "categories", "tags", more))
+    return star.products(spark, folder).select(
+        F.concat_ws("^", number, F.concat(F.lit(' 5" '), "name"), F.lit("1,2"), F.lit("B9"), tags).alias("value"))
+
+
+def product_scan(spark, folder):
+    return parse_products(_product_lines(spark, folder)).rows
+
+
+def product_rejects(spark, folder):
+    return parse_products(_product_lines(spark, folder)).rejects
+
+
+def saved_table(spark, folder):
+    """Ratings saved by month over a table that was there before, and read back under the declared schema."""
+    path, ratings = scratch_path(spark, "saved"), star.ratings(spark, folder)
+    for rows, parts in ((ratings.limit(5), None), (ratings.withColumn("month", yearmonth(F.col("timestamp"))), ["month"])):
+        write_table(rows, path, "Rating", partition_by=parts)
+    return read_table(spark, path, "Rating", schema.RATING)
 
 
 def offline_for_user(spark, folder):
@@ -303,29 +428,57 @@ def _rated(spark, folder):
     return star.ratings(spark, folder).select(*keys).unionByName(star.events(spark, folder).select(*keys))
 
 
-def _candidates(spark, folder, sim):
-    return online.stream_candidates(
-        online.latest_event(star.events(spark, folder)), sim, _rated(spark, folder)
-    )
+def _candidates(spark, folder, shop):
+    """Candidates of each user's newest event, out of the stored lists of the products asked."""
+    latest = online.latest_event(star.events(spark, folder))
+    sim = shop.of(latest.select("productId")).toDF("productId", "rec_productId", "score")
+    path = scratch_path(spark, "lists")
+    live.store_lists(top_k(sim, ["productId"], tie="rec_productId"), path)
+    return online.candidates_from_lists(stored(latest, "latest"), live.stored_lists(spark, path), _rated(spark, folder))
 
 
 def stream_candidates(spark, folder):
-    asked = online.latest_event(star.events(spark, folder)).select("productId")
-    return _candidates(spark, folder, content.AskedContent(star.products(spark, folder)).of(asked))
+    return _candidates(spark, folder, content.AskedContent(star.products(spark, folder)))
 
 
 def stream_scores(spark, folder):
     """Candidates from the asked products' lists, and scores from the (candidate, recent) pairs alone."""
     shop = content.AskedContent(star.products(spark, folder))
-    events = star.events(spark, folder)
-    candidates = _candidates(spark, folder, shop.of(online.latest_event(events).select("productId")))
-    recents = online.recent_ratings(events)
+    candidates = stored(_candidates(spark, folder, shop), "candidates")
+    recents = stored(online.recent_ratings(star.events(spark, folder)), "recents")
     pairs = candidates.select("userId", F.col("candidate").alias("p1")).join(
         recents.select("userId", F.col("productId").alias("p2")), "userId"
     )
     return online.stream_scores(candidates, recents, shop.between(pairs))
 
 
+def live_recs(spark, folder):
+    """The live lists after the whole event table went through the live query as a log, one restart per third.
+
+    Lines of each third of the time, with others in between, are written to a folder that a stream watches; the
+    stream takes what is new, ends, and is started again from its checkpoint.
+    """
+    base = scratch_path(spark, "live")
+    live.store_lists(content.content_recs(star.products(spark, folder)), f"{base}/lists")
+    ratings = star.ratings(spark, folder)
+    events = star.events(spark, folder)
+    lines = events.select("userId", "timestamp", F.concat(F.lit("INFO app "), rating_event(
+        F.col("userId"), F.col("productId"), F.col("score"), F.col("timestamp"))).alias("value"))
+    cuts = events.agg(F.percentile("timestamp", F.array(F.lit(1 / 3), F.lit(2 / 3)))).first()[0] or [0, 0]
+    later = F.lit(0)
+    for cut in cuts:
+        later = later + (F.col("timestamp") > cut).cast("int")
+    for third in range(3):
+        mine = lines.filter(later == third).repartition("userId").select(
+            F.explode(F.array("value", F.lit("INFO login"), F.lit("INFO " + RATING_PREFIX))).alias("value"))
+        mine.write.mode("append").text(f"{base}/log")
+        payloads = extract_rating_events(read_line_stream(spark, f"{base}/log"))
+        live.run_stream(payloads, live.stored_lists(spark, f"{base}/lists"), ratings, f"{base}/tables", f"{base}/checkpoint",
+                        once=True).awaitTermination()
+    lists = unpack_recs(live.stream_recs(spark, f"{base}/tables"), "userId", "productId")
+    return lists.select("userId", "productId", "score", "rank")
+
+
 def stream_recs(spark, folder):
     lists = stream_scores(spark, folder).withColumnRenamed("productId", "rec_productId")
     return _hydrated(lists, spark, folder, "userId")
@@ -361,14 +514,15 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         rate_more_products, rate_more_recently, average_products, monthly_rollup, averages_from_rollup,
-        sql_monthly, distinct_ids, most_rated, hot_products, best_rated, product_cards, product_info,
+        sql_monthly, rate_more_ranked, rate_more_recently_ranked, average_ranked, distinct_ids, most_rated, hot_products, best_rated, product_cards, product_info,
         search_products, cooccurrence, item_cf, item_cf_distinct_users, item_cf_heavy_blocks,
         sql_item_similarity, similar_itemcf, tfidf_exact,
         tfidf_hashed, content_recs, content_recs_top, content_recs_hashed, similar_content,
         similar_asked, similarity_maps, dense_cosine_recs, dense_cosine_top, als_user_recs, als_product_recs,
-        als_rmse_grid, als_unrated, als_list_shape, rmse_by_cell, least_cell, fine_means, table_scan,
-        malformed_lines, offline_for_user,
+        als_rmse_grid, als_unrated, als_list_shape, als_unrated_shape, als_optimality, als_wide_ids, als_rmse_joined,
+        factor_top, offline_read, rmse_by_cell, least_cell, fine_means, table_scan, saved_table,
+        malformed_lines, rating_scan, rating_rejects, product_scan, product_rejects, offline_for_user,
         upsert_ratings, recent_ratings, recent_queue, latest_event, replaced_lists, stream_candidates,
-        stream_scores, stream_recs, extract_events, parse_events, event_text,
+        stream_scores, stream_recs, live_recs, extract_events, parse_events, event_text,
     )
 }

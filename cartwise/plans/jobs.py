@@ -8,6 +8,8 @@ from cartwise import schema
 from cartwise.operators import content, factors, itemcf, stats
 from cartwise.operators.ranking import pack_recs, top_k
 from cartwise.sources.files import read_products, read_ratings, read_table, write_table
+from cartwise.sources.scratch import clear_scratch
+from cartwise.streaming.live import store_lists
 
 
 def load(spark: SparkSession, product_file: str, rating_file: str, base: str) -> None:
@@ -49,12 +51,13 @@ def content_lists(spark: SparkSession, base: str, buckets: int | None = content.
     """
     products = read_table(spark, base, "Product", schema.PRODUCT)
     write_table(content.content_recs(products, buckets=buckets), base, "ContentBasedProductRecs")
+    clear_scratch(spark)
 
 
 def offline_lists(spark: SparkSession, base: str, seed: int = 7) -> None:
-    """UserRecs (nested, 20 a user), the similarity relation ProductSim, and ProductRecs (flat, whole).
+    """UserRecs (nested, 20 a user), the similarity relation ProductSim, ProductRecs (flat, whole) and LiveLists.
 
-    The stream job reads ProductSim.
+    LiveLists are ProductRecs as the live query reads them, by bucket of product and in order of rank.
     """
     ratings = read_table(spark, base, "Rating", schema.RATING)
     model = factors.train_als(ratings, seed=seed)
@@ -62,6 +65,8 @@ def offline_lists(spark: SparkSession, base: str, seed: int = 7) -> None:
     write_table(factors.product_similarity(model), base, "ProductSim")
     written = read_table(spark, base, "ProductSim", schema.SIMILARITY).toDF("productId", "rec_productId", "score")
     write_table(top_k(written, ["productId"], tie="rec_productId"), base, "ProductRecs")
+    store_lists(read_table(spark, base, "ProductRecs", schema.RANKED), f"{base}/LiveLists")
+    clear_scratch(spark)
 
 
 def tune(spark: SparkSession, base: str, seed: int = 7) -> None:
@@ -69,3 +74,4 @@ def tune(spark: SparkSession, base: str, seed: int = 7) -> None:
     grid = factors.tune_als(read_table(spark, base, "Rating", schema.RATING), seed=seed)
     write_table(grid, base, "ALSGrid")
     write_table(factors.best_parameters(grid), base, "ALSBest")
+    clear_scratch(spark)

@@ -160,6 +160,14 @@ CELLS = """cells AS (
        (VALUES (5::DOUBLE), (10::DOUBLE)) AS a(r), (VALUES (1.0::DOUBLE), (0.1::DOUBLE), (0.01::DOUBLE)) AS b(g)
   GROUP BY r, g)"""
 
+VECTOR_LISTS = f"""v AS (SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+lists AS (SELECT * FROM (
+  SELECT "userId", "rec_productId", score, CAST(row_number() OVER (
+    PARTITION BY "userId" ORDER BY score DESC, "rec_productId") AS INTEGER) AS "rank" FROM (
+      SELECT a.id AS "userId", b.id AS "rec_productId", floor(list_dot_product(a.e, b.e) * 1e9 + 0.5) / 1e9 AS score
+      FROM v a JOIN v b ON b.id NOT IN (a.id, a.id + 1)) s WHERE score > 0) r WHERE "rank" <= {TOP})
+"""
+
 MONTH = "CAST(strftime(make_timestamp(\"timestamp\" * 1000000), '%Y%m') AS INTEGER)"
 COUNTS = 'counts AS (SELECT "productId", count(*) AS "count" FROM ratings GROUP BY 1)'
 MONTHS = (
@@ -216,14 +224,43 @@ ORACLES: dict[str, str] = {
     "similar_asked": _with(RATINGS, PRODUCTS, AVERAGES, EVENTS, CONTENT, CONTENT_RANKED)
     + _hydrate("productId", '(SELECT * FROM ranked WHERE "rank" <= 5 AND "productId" IN (SELECT "productId" FROM ev))'),
     "similarity_maps": _with(RATINGS, _item_cf(False)) + 'SELECT "productId" AS p1, "rec_productId" AS p2, score FROM itemcf',
-    "als_list_shape": _with(RATINGS) + 'SELECT DISTINCT "userId", true AS good FROM ratings',
+    "als_list_shape": _with(RATINGS)
+    + f'SELECT DISTINCT "userId", least({TOP}, (SELECT count(DISTINCT "productId") FROM ratings)) AS length, true AS good FROM ratings',
+    "als_unrated_shape": _with(RATINGS)
+    + f'SELECT "userId", least({TOP}, (SELECT count(DISTINCT "productId") FROM ratings) - count(DISTINCT "productId")) AS length, '
+      "true AS good FROM ratings GROUP BY 1",
+    "als_optimality": _with(RATINGS) + 'SELECT "userId", count(*) AS ratings, true AS good FROM ratings GROUP BY 1',
+    "als_wide_ids": _with(RATINGS)
+    + 'SELECT "userId" * 4294967311 AS "userId", count(*) AS ratings, true AS good FROM ratings GROUP BY 1',
+    "als_rmse_joined": """SELECT CAST(r AS INTEGER) AS "rank", 5 AS iterations, 0.1::DOUBLE AS reg,
+  (SELECT count(*) FROM lineitem) AS ratings, true AS agree FROM (VALUES (3), (6)) AS c(r)""",
+    "factor_top": "WITH " + VECTOR_LISTS + "SELECT * FROM lists",
+    "offline_read": _with(RATINGS, PRODUCTS, AVERAGES, VECTOR_LISTS) + _hydrate("userId", "lists"),
+    "saved_table": _with(RATINGS) + "SELECT * FROM ratings",
+    "rate_more_ranked": _with(RATINGS, COUNTS)
+    + 'SELECT *, row_number() OVER (ORDER BY "count" DESC, "productId") AS "rank" FROM counts',
+    "rate_more_recently_ranked": _with(RATINGS, MONTHS)
+    + 'SELECT *, row_number() OVER (ORDER BY yearmonth DESC, "count" DESC, "productId") AS "rank" FROM months',
+    "average_ranked": _with(RATINGS, AVERAGES)
+    + 'SELECT *, row_number() OVER (ORDER BY "avg" DESC, "productId") AS "rank" FROM averages',
+    "rating_scan": _with(RATINGS) + 'SELECT * FROM ratings WHERE "productId" % 7 <> 0 AND "productId" % 11 <> 0',
+    "rating_rejects": _with(RATINGS) + """SELECT concat_ws(',', "userId", "productId",
+    CASE WHEN "productId" % 7 = 0 THEN 'high' WHEN "userId" % 3 = 0 THEN '"' || score || '"' ELSE score::VARCHAR END,
+    CASE WHEN "productId" % 11 <> 0 THEN CASE WHEN "userId" % 5 = 0 THEN "timestamp" * 1000 + 123 ELSE "timestamp" END END) AS "value"
+  FROM ratings WHERE "productId" % 7 = 0 OR "productId" % 11 = 0""",
+    "product_scan": _with(PRODUCTS) + """SELECT "productId", '5" ' || name AS name, 'img' AS "imageUrl", categories, tags
+  FROM products WHERE "productId" % 7 <> 0 AND "productId" % 11 <> 0""",
+    "product_rejects": _with(PRODUCTS) + """SELECT concat_ws('^', CASE WHEN "productId" % 7 = 0 THEN 'x' || "productId" ELSE "productId"::VARCHAR END,
+    ' 5" ' || name, '1,2', 'B9', CASE WHEN "productId" % 11 <> 0 THEN concat_ws('^', 'img', categories, tags,
+      CASE WHEN "productId" % 5 = 0 THEN 'more' END) END) AS "value"
+  FROM products WHERE "productId" % 7 = 0 OR "productId" % 11 = 0""",
     "rmse_by_cell": _with(RATINGS, CELLS) + "SELECT * FROM cells",
     "least_cell": _with(RATINGS, CELLS) + "SELECT * FROM cells ORDER BY rmse LIMIT 1",
     "fine_means": """SELECT l_suppkey, floor(CAST(sum(CAST(floor(l_discount * 1e9 + 0.5) / 1e9 AS DECIMAL(11,9))
     * CAST(floor(l_extendedprice + 0.5) / 1000 AS DECIMAL(18,9))) AS DOUBLE) / count(*) * 1e9 + 0.5) / 1e9 AS mean
 FROM lineitem GROUP BY 1""",
     "table_scan": "SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_brand FROM part",
-    "malformed_lines": "SELECT count(*) AS malformed FROM events",
+    "malformed_lines": _with(EVENTS) + 'SELECT count(*) AS malformed FROM ev WHERE "userId" % 3 = 0',
     "dense_cosine_recs": DENSE + "SELECT * FROM ranked",
     "dense_cosine_top": DENSE + 'SELECT * FROM ranked WHERE "rank" <= 5',
     "upsert_ratings": _with(RATINGS, EVENTS)
@@ -240,6 +277,7 @@ UNION ALL SELECT "userId", "productId", score, "timestamp" FROM (
     "stream_candidates": _with(RATINGS, EVENTS, PRODUCTS, CONTENT, LATEST, CANDIDATES) + "SELECT * FROM cands",
     "stream_scores": _with(RATINGS, EVENTS, PRODUCTS, CONTENT, LATEST, CANDIDATES, _recents("ev", 20), SCORES)
     + "SELECT * FROM live",
+    "live_recs": _with(RATINGS, EVENTS, PRODUCTS, CONTENT, LATEST, CANDIDATES, _recents("ev", 20), SCORES) + "SELECT * FROM live",
     "stream_recs": _with(
         RATINGS, EVENTS, PRODUCTS, AVERAGES, CONTENT, LATEST, CANDIDATES, _recents("ev", 20), SCORES
     ) + _hydrate("userId", "live", '"productId"'),

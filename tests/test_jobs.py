@@ -46,7 +46,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.content_lists(spark, base)
     jobs.offline_lists(spark, base)
     for name, table_schema in (
-        ("ContentBasedProductRecs", schema.RANKED), ("ProductRecs", schema.RANKED), ("UserRecs", schema.USER_RECS),
+        ("ContentBasedProductRecs", schema.RANKED), ("ProductRecs", schema.RANKED), ("LiveLists", schema.RANKED), ("UserRecs", schema.USER_RECS),
     ):
         table = read_table(spark, base, name, table_schema)
         flat = table if table_schema is schema.RANKED else unpack_recs(table, "userId").withColumnRenamed("userId", "productId")
@@ -59,11 +59,11 @@ def test_jobs_end_to_end(spark, tmp_path):
 
 
 def test_long_lists_are_stored_whole(spark, tmp_path):
-    products = [f"{p}^name {p}^1^e^i^c^red|{'box' if p % 2 else 'pen'}" for p in range(140)] + ["999^x^1^e^i^c^other|words"]
+    products = [f"{p}^name {p}^1^e^i^c^red|{'box' if p % 2 else 'pen'}" for p in range(300)] + ["999^x^1^e^i^c^other|words"]
     (tmp_path / "products.csv").write_text("\n".join(products) + "\n")
     (tmp_path / "ratings.csv").write_text("1,2,3.0,1390000000\n")
     base = str(tmp_path / "tables")
     jobs.load(spark, str(tmp_path / "products.csv"), str(tmp_path / "ratings.csv"), base)
     jobs.content_lists(spark, base, buckets=None)
     longest = read_table(spark, base, "ContentBasedProductRecs", schema.RANKED).groupBy("productId").count().agg({"count": "max"}).first()[0]
-    assert longest > 60
+    assert longest == 149  # every other product of the same words
