@@ -10,12 +10,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cartwise.llm.common import map_texts, stored
+from cartwise.llm.common import map_texts, ship, stored
 
 LENGTH = 400  # bytes of a string that may not stand twice
 GRAM = 160  # bytes of an anchor; every string of LENGTH bytes holds LENGTH - GRAM + 1 of them
 PIECE = 1 << 18  # starts handled at once in a long text
-HOT = 1_500  # distinct regions of one anchor that a task sorts; beyond, they are first cut to strings that come again
+HOT = 1_500  # distinct regions of one anchor that a task sorts, and their bytes; beyond, their strings are counted by digests
+HOT_BYTES = 1 << 20
+PACKED = 7  # letters of nine bits in a 64-bit number
+COUNTED = 1 << 16  # strings of a batch on their way to be counted
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,7 +80,7 @@ def _twice(grams: np.ndarray, anchors: np.ndarray, firsts: np.ndarray, sizes: np
 
 # --- the suffix sort -------------------------------------------------------------------------------------------------
 
-def suffix_order(codes: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_order(codes: np.ndarray, wanted: np.ndarray, depth: int = LENGTH, words: np.ndarray | None = None) -> np.ndarray:
     """Places of the wanted suffixes in order of their first ``depth`` letters, by two-stage sorting.
 
     ``codes`` are letters from 1 up, and 0 ends each text. Suffixes smaller than their successors are sorted
@@ -100,13 +103,7 @@ def suffix_order(codes: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) ->
     np.add.at(edge, starts, 1)
     np.add.at(edge, np.minimum(stop[starts], size - 1) + 1, -1)
     needed = np.cumsum(edge[:-1]) > 0
-    text = codes.astype(np.uint16).astype(">u2").tobytes()  # two bytes a letter, in the order of the letters
-    ends = np.flatnonzero(codes == 0)
-    direct = np.flatnonzero(needed & smaller)
-    cut = np.minimum(direct + depth, ends[np.searchsorted(ends, direct)] + 1)
-    keys = [text[2 * b:2 * e] for b, e in zip(direct.tolist(), cut.tolist())]
-    direct = direct[sorted(range(len(keys)), key=keys.__getitem__)]
-    del keys
+    direct = sorted_directly(packed(codes, depth) if words is None else words, np.flatnonzero(needed & smaller), depth)
     first = codes[direct]
     bounds = np.searchsorted(first, np.arange(258))
     waiting: list[list[np.ndarray]] = [[] for _ in range(258)]
@@ -124,6 +121,53 @@ def suffix_order(codes: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) ->
     return np.concatenate(order) if order else np.zeros(0, np.int64)
 
 
+def packed(codes: np.ndarray, depth: int) -> np.ndarray:
+    """From each place on seven letters as one number, nine bits each; behind the last text there are ends only."""
+    wide = np.zeros(len(codes) + depth + 2 * PACKED, np.uint64)
+    wide[:len(codes)] = codes
+    words = np.zeros(len(codes) + depth + PACKED, np.uint64)
+    for letter in range(PACKED):
+        words <<= np.uint64(9)
+        words |= wide[letter:letter + len(words)]
+    return words
+
+
+def sorted_directly(words: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+    """These suffixes in order of their first ``depth`` letters, seven at a time: only those still alike are looked at again.
+
+    Of them, only groups whose next letters differ are sorted. What follows the end of a text may be compared
+    too, but only between suffixes that are alike up to there. Memory is a few numbers for each suffix, however deep
+    they are alike.
+    """
+    key = words[places]
+    by = np.argsort(key, kind="stable")
+    places, key = places[by], key[by]
+    head = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+    group = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))  # the first place of those alike
+    live = _alike(group, np.arange(len(group)))
+    for at in range(PACKED, depth, PACKED):
+        if not len(live):
+            break
+        key, own = words[places[live] + at], group[live]
+        differ = (key[1:] != key[:-1]) & (own[1:] == own[:-1])
+        if not differ.any():
+            continue
+        mixed = np.isin(own, own[1:][differ])
+        some, key, own = live[mixed], key[mixed], own[mixed]
+        by = np.lexsort((key, own))
+        places[some], key = places[some][by], key[by]
+        head = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
+        group[some] = np.maximum.accumulate(np.where(head, some, 0))
+        live = _alike(group[live], live)
+    return places
+
+
+def _alike(group: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Those of the places, in order, whose group has another member."""
+    same = group[1:] == group[:-1]
+    return places[np.append(same, False) | np.append(False, same)] if len(places) else places
+
+
 def _call(places: np.ndarray, codes: np.ndarray, induced: np.ndarray, waiting: list[list[np.ndarray]]) -> None:
     """Put the larger suffixes just before these places, in their order, behind what waits for their first letters."""
     before = places[places > 0] - 1
@@ -137,20 +181,23 @@ def _call(places: np.ndarray, codes: np.ndarray, induced: np.ndarray, waiting: l
             waiting[int(codes[part[0]])].append(part)
 
 
-def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int = LENGTH) -> np.ndarray:
+def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int = LENGTH, words: np.ndarray | None = None) -> np.ndarray:
     """Letters that each suffix of the order shares with the one before it, up to ``most``; the first shares none."""
+    words = packed(codes, most) if words is None else words
     shared = np.zeros(len(order), np.int64)
     live = np.arange(1, len(order))
-    for at in range(most):
-        a, b = order[live - 1] + at, order[live] + at
-        fits = (a < len(codes)) & (b < len(codes))
-        live, a, b = live[fits], a[fits], b[fits]
-        same = (codes[a] == codes[b]) & (codes[a] != 0)
-        live = live[same]
+    for at in range(0, most, PACKED):
+        apart = words[order[live - 1] + at] ^ words[order[live] + at]
+        other = apart != 0
+        shared[live[other]] = at + sum((apart[other] >> np.uint64(9 * left)) == 0 for left in range(PACKED))
+        live = live[~other]
         if not len(live):
             break
-        shared[live] += 1
-    return shared
+    shared[live] = most
+    ends = np.flatnonzero(codes == 0)
+    left = ends[np.searchsorted(ends, order)] - order  # letters of each text behind a place
+    shared[1:] = np.minimum(shared[1:], np.minimum(left[1:], left[:-1]))
+    return np.minimum(shared, most)
 
 
 def repeated_starts(texts: list[bytes], sizes: list[int], length: int = LENGTH) -> list[np.ndarray]:
@@ -164,9 +211,10 @@ def repeated_starts(texts: list[bytes], sizes: list[int], length: int = LENGTH)
         wanted[at:at + size] = True
         begins.append(at)
         at += len(text) + 1
-    order = suffix_order(codes, wanted, length)
+    words = packed(codes, length)
+    order = suffix_order(codes, wanted, length, words)
     order = order[wanted[order]]
-    equal = common_prefixes(codes, order, length) >= length
+    equal = common_prefixes(codes, order, length, words) >= length
     found = np.zeros(len(codes), bool)
     found[order[equal]] = True
     found[order[:-1][equal[1:]]] = True
@@ -242,18 +290,16 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield done()
 
 
-def _string_kernel():
-    def step(batch: pa.RecordBatch) -> dict:
-        rows: list[list] = [[], [], [], []]
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``anchor``, ``digest``, ``start``, ``string`` (its 128-bit digest) for every start of a region, COUNTED at a time."""
+    for batch in batches:
         for anchor, digest, size, part in zip(*(batch.column(c).to_pylist() for c in ("anchor", "digest", "size", "part"))):
-            rows[0] += [anchor] * size
-            rows[1] += [digest] * size
-            rows[2] += range(size)
-            rows[3] += [xxhash.xxh3_128_digest(part[s:s + LENGTH]) for s in range(size)]
-        return {"anchor": pa.array(rows[0], pa.int64()), "digest": pa.array(rows[1], pa.int64()),
-                "start": pa.array(rows[2], pa.int64()), "string": pa.array(rows[3], pa.binary())}
-
-    return step
+            for low in range(0, size, COUNTED):
+                starts = range(low, min(low + COUNTED, size))
+                made = [xxhash.xxh3_128_digest(part[s:s + LENGTH]) for s in starts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(made), anchor)), pa.array(np.full(len(made), digest)), pa.array(np.array(starts)),
+                     pa.array(made, pa.binary())], names=["anchor", "digest", "start", "string"])
 
 
 def _result_kernel():
@@ -280,13 +326,13 @@ def _result_kernel():
     return step
 
 
-def repeated_strings(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def repeated_strings(docs: DataFrame, hot: int = HOT, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``k1``, ``k2`` (a text's two hashes), ``spans``: starts of strings of LENGTH bytes that also start elsewhere.
 
     Every text is cut into regions, runs of starts under one anchor. Equal regions are a class before anything is
     sorted, so a group of copies of any size is one region; a class of two has only repeated starts. Anchors with
-    more than one class, or with one that may repeat itself, go to the suffix sort, each whole to one task, unless over ``hot`` classes share one: then
-    each string of theirs is counted by a 128-bit digest instead, which splits any group and is as exact.
+    more than one class, or with one that may repeat itself, go to the suffix sort, each whole to one task, unless over ``hot`` classes share one
+    or they have over ``hot_bytes`` bytes: then each string of theirs is counted by a 128-bit digest instead, which splits any group and is as exact.
     """
     made = map_texts(docs.where(F.length("text") >= LENGTH),
                      "k1 long, k2 long, anchor long, digest long, start long, size long, inner long", _region_kernel)
@@ -294,18 +340,20 @@ def repeated_strings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     classes = stored(found.groupBy("anchor", "digest", "size").agg(
         F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "start")).alias("at")
     ))
-    kinds = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max("inner").alias("any"))
-    kinds = kinds.where("kinds > 1 or any = 1")
+    weight = F.sum(F.col("size") + LENGTH)
+    kinds = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max("inner").alias("any"), weight.alias("bytes"))
+    kinds = kinds.where("kinds > 1 or any = 1").withColumn("few", (F.col("kinds") <= hot) & (F.col("bytes") <= hot_bytes))
     mixed = classes.join(kinds, "anchor").select("anchor", "digest", "size", "at.*")
     wanted = mixed.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "digest", "size", "start")).alias("wanted"))
     one = docs.where(F.length("text") >= LENGTH).dropDuplicates(KEY)
     parts = stored(map_texts(one.join(wanted, KEY).select("text", "wanted"),
                              "anchor long, digest long, size long, part binary", _cut_kernel))
-    several = kinds.where(F.col("kinds") <= hot).select("anchor")
+    several = kinds.where("few").select("anchor")
     by_anchor = parts.join(several, "anchor", "left_semi").repartition("anchor").sortWithinPartitions("anchor", "digest")
     sorted_out = by_anchor.mapInArrow(_sorted_groups, FOUND)
-    crowded = parts.join(kinds.where(F.col("kinds") > hot).select("anchor"), "anchor", "left_semi")
-    strings = map_texts(crowded, "anchor long, digest long, start long, string binary", _string_kernel, column="part")
+    crowded = parts.join(kinds.where("not few").select("anchor"), "anchor", "left_semi")
+    ship(docs.sparkSession)
+    strings = crowded.mapInArrow(_strings, "anchor long, digest long, start long, string binary")
     again = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
     counted = strings.join(again, "string", "left_semi").groupBy("anchor", "digest").agg(
         F.transform(F.collect_set("start"), lambda s: F.struct(s.alias("lo"), (s + 1).alias("hi"))).alias("spans")
@@ -318,7 +366,7 @@ def repeated_strings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return placed.groupBy(*KEY).agg(F.flatten(F.collect_list(shifted)).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot: int = HOT, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, one row per row of ``docs``.
 
     Each byte under a string of LENGTH bytes that also starts anywhere else is removed, in every place, the first
@@ -327,6 +375,6 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
-    spans = stored(repeated_strings(keyed.drop("doc_id"), hot))
+    spans = stored(repeated_strings(keyed.drop("doc_id"), hot, hot_bytes))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return map_texts(keyed.join(spans, KEY, "left").select("doc_id", "text", "spans"), schema, _result_kernel)

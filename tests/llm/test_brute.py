@@ -191,13 +191,38 @@ def test_suffix_sort(parts, length):
     assert tails == sorted(tails)
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 1])
-def test_repeats_against_all_strings(spark, texts, hot):
-    raw = {i: r.text.encode() for i, r in texts.items()}
+def test_deep_sorts_hold_little(monkeypatch):
+    """Fifteen hundred near-like regions of one anchor: the same order, in memory of a few numbers a suffix."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    base = rng.integers(97, 123, 700, dtype=np.uint8)
+    parts = []
+    for _ in range(1500):
+        copy = base.copy()
+        copy[rng.integers(0, 700, 2)] = 65
+        parts.append(copy.tobytes())
+    tracemalloc.start()
+    found = repeats.repeated_starts(parts, [301] * 1500)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    count = collections.Counter(p[i:i + 400] for p in parts for i in range(301))
+    assert [f.tolist() for f in found] == [[count[p[i:i + 400]] > 1 for i in range(301)] for p in parts]
+
+
+@pytest.mark.parametrize("hot, most, folder", [
+    (repeats.HOT, repeats.HOT_BYTES, FOLDER), (1, repeats.HOT_BYTES, FOLDER), (repeats.HOT, 3000, FOLDER),
+    (repeats.HOT, repeats.HOT_BYTES, "/root/testdata/sf0.01"),
+])
+def test_repeats_against_all_strings(spark, hot, most, folder):
+    """Bytes go just where a string of 400 bytes stands twice, in whole tables; a text over several pieces among them."""
+    raw = {r.doc_id: r.text.encode() for r in table(spark, folder, "documents").select("doc_id", "text").collect()}
+    long = random.Random(5).randbytes(200_000).hex().encode()
+    raw |= {9004: long + b"x" + long[-500:], 9005: long[1000:1700]}
     raw |= {9001: b"ab" * 700, 9002: b"q" * 399, 9003: b"z" * 401}
     count = collections.Counter(hashlib.md5(t[i:i + 400]).digest() for t in raw.values() for i in range(len(t) - 399))
     docs = spark.createDataFrame([(i, t.decode()) for i, t in raw.items()], "doc_id long, text string")
-    for r in repeats.remove_repeats(docs, hot).collect():
+    for r in repeats.remove_repeats(docs, hot, most).collect():
         t = raw[r.doc_id]
         edge = np.zeros(len(t) + 1, int)
         for i in range(len(t) - 399):
