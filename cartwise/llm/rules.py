@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,9 @@ LETTERS = UPPER + UPPER.lower()
 
 RISK = 0.01  # of a stratum's good documents, so many at most may be rejected by all rules together
 DOUBT = 0.05  # the chance that the bound fails anywhere
-STEPS = 100  # cutoffs tried per rule, from 1 down, evenly
+STEPS = 100  # values told apart per rule, evenly; and cutoffs tried of the score
+TUNING = 3  # of so many labelled documents one scales the rules; the others certify
+POOL = "*"  # the stratum of all that have too few good labels to certify one of their own
 # Each rule is a share from 0 to 1; a document above the cutoff is rejected.
 RULES = ("symbol_share", "upper_share", "shout_share", "repeat_share", "dup_line_share")
 
@@ -116,46 +119,116 @@ def choose(good: np.ndarray, bad: np.ndarray, risk: float, doubt: float) -> int
     return chosen
 
 
-def histogram(counts: DataFrame, labels: DataFrame) -> DataFrame:
-    """``stratum``, ``rule``, ``step``, ``good``, ``bad``: labelled documents that pass the base rules.
+def _steps() -> Column:
+    """``at``: the step, 0 to STEPS, of each rule's share, in the order of RULES."""
+    return F.array(*[F.ceil(share * STEPS).cast("int") for share in shares().values()]).alias("at")
 
-    A document with several labels is bad if any says so; null labels and ids say nothing.
+
+def _labelled(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    """``stratum``, ``at``, ``good``, ``tuning`` of labelled documents that pass the base rules.
+
+    A document with several labels is bad if any says so; null labels and ids say nothing. Which part a document is
+    in follows from its id.
     """
     said = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = counts.where(~base_failed()).join(said, "doc_id")
-    each = F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.ceil(share * STEPS).cast("int").alias("step"))
-        for rule, share in shares().items()
-    ])).alias("at")
-    return rows.select("stratum", (F.col("quality") > 0).cast("long").alias("good"), each).groupBy(
-        "stratum", F.col("at.rule").alias("rule"), F.col("at.step").alias("step")
-    ).agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+    return counts.where(~base_failed()).join(said, "doc_id").select(
+        "stratum", _steps(), (F.col("quality") > 0).cast("long").alias("good"),
+        (F.pmod(F.xxhash64("doc_id"), F.lit(TUNING)) == 0).alias("tuning"))
+
+
+def extremes(good: np.ndarray) -> np.ndarray:
+    """A value for each rule and step, lower the more extreme; ``good`` counts good documents by rule and step.
+
+    It is the number of good documents with that step or a higher one, STEPS at most; where there are none, less the steps
+    that lie between it and the highest good one.
+    """
+    tails = np.cumsum(good[:, ::-1], axis=1)[:, ::-1]
+    highest = good.shape[1] - 1 - (good[:, ::-1] > 0).argmax(axis=1)
+    return np.where(tails > 0, np.minimum(tails, STEPS), np.where(good.any(axis=1), highest, -1)[:, None] - np.arange(good.shape[1]))
+
+
+def _rank(table: Column) -> Column:
+    """The score of a document: the least value over all rules, from -STEPS to STEPS.
+
+    0 and less say that some rule puts it beyond every good document of the tuning part. Rejecting scores up to k is one
+    cutoff for each rule at once, stricter with k, so that one certificate speaks for all rules together.
+    """
+    return F.least(*[F.element_at(table[i], F.col("at")[i] + 1) for i in range(len(RULES))])
+
+
+@dataclass
+class Cutoffs:
+    """What the labels certify: for each stratum how extreme its good documents are, and the score up to which it rejects.
+
+    ``strata`` are those certified on their own; all others are one, POOL.
+    """
+
+    strata: list[str]
+    tails: dict[str, np.ndarray]
+    rejects: dict[str, int]
 
+    def of(self) -> Column:
+        """The stratum a document is judged in."""
+        return F.when(F.col("stratum").isin(self.strata), F.col("stratum")).otherwise(POOL) if self.strata else F.lit(POOL)
 
-def cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> dict[tuple[str, str], int]:
-    """The step above which a rule rejects, by (stratum, rule); none where no cutoff is certified.
+    def score(self) -> Column:
+        made = F.lit(STEPS)
+        for name, table in sorted(self.tails.items()):
+            own = F.array(*[F.array(*map(F.lit, row)) for row in table.tolist()])
+            made = F.when(self.of() == name, _rank(own)).otherwise(made)
+        return made
 
-    ``risk`` is shared among the rules of a stratum and ``doubt`` among all rules of all strata (Bonferroni). Only
-    the histogram comes to the driver: strata x rules x steps, however many documents are labelled.
+    def cutoff(self) -> Column:
+        """The certified score up to which the document's stratum rejects; null where nothing is certified."""
+        made = F.lit(None).cast("int")
+        for name, level in sorted(self.rejects.items()):
+            made = F.when(self.of() == name, level).otherwise(made)
+        return made
+
+    def kept(self) -> Column:
+        return ~base_failed() & F.coalesce(F.col("score") > F.col("cutoff"), F.lit(True))
+
+
+def enough(risk: float, doubt: float) -> int:
+    """So many good documents certify a cutoff that rejects none of them."""
+    return math.ceil(math.log(doubt) / math.log1p(-risk))
+
+
+def cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> Cutoffs:
+    """Cutoffs whose share of rejected good documents is at most ``risk`` in every stratum, but for the chance ``doubt``.
+
+    One part of the labelled documents scales the rules, so that they have one score; the other certifies cutoffs of that
+    score, from the mildest on. ``doubt`` is shared among the strata (Bonferroni), ``risk`` is not shared among the
+    rules, as they are certified together. Strata with too few good documents in the second part, which is
+    known before anything is seen of their scores, are pooled and certified as one. Only histograms come to the
+    driver: strata x rules x steps, and strata x scores, however many documents are labelled.
     """
-    cells: dict[tuple[str, str], np.ndarray] = {}
-    for row in histogram(counts, labels).collect():
-        cells.setdefault((row.stratum, row.rule), np.zeros((2, STEPS + 1), np.int64))[:, row.step] += (row.good, row.bad)
-    found = {at: choose(*cell, risk / len(RULES), doubt / len(cells)) for at, cell in cells.items()}
-    return {at: step for at, step in found.items() if step is not None}
-
-
-def verdict(found: dict[tuple[str, str], int]) -> Column:
-    """Kept: not failed by the base rules, and above no cutoff of its stratum."""
-    kept = ~base_failed()
-    for rule, share in shares().items():
-        own = {stratum: step for (stratum, r), step in found.items() if r == rule}
-        if own:
-            limit = F.lit(None).cast("int")
-            for stratum, step in sorted(own.items()):
-                limit = F.when(F.col("stratum") == stratum, step).otherwise(limit)
-            kept = kept & F.coalesce(F.ceil(share * STEPS).cast("int") <= limit, F.lit(True))
-    return kept
+    known = stored(_labelled(counts, labels))
+    sizes = {r.stratum: r.n for r in known.where("not tuning").groupBy("stratum").agg(F.sum("good").alias("n")).collect()}
+    strata = sorted(sizes)
+    while strata:  # as strata are pooled, the others' share of the doubt grows
+        least = enough(risk, doubt / (len(strata) + 1))
+        small = [x for x in strata if sizes[x] < least]
+        if not small:
+            break
+        strata = [x for x in strata if x not in small]
+    made = Cutoffs(strata, {}, {})
+    rows = known.select(made.of().alias("own"), "at", "good", "tuning")
+    each = F.posexplode("at").alias("rule", "step")
+    cells = rows.where("tuning and good = 1").select("own", each).groupBy("own", "rule", "step").count().collect()
+    for row in cells:
+        made.tails.setdefault(row.own, np.zeros((len(RULES), STEPS + 1), np.int64))[row.rule, row.step] += row["count"]
+    made.tails = {name: extremes(good) for name, good in made.tails.items()}
+    scored = known.where("not tuning").withColumn("score", made.score()).groupBy(made.of().alias("own"), "score").agg(
+        F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")).collect()
+    found: dict[str, np.ndarray] = {}
+    for row in scored:
+        found.setdefault(row.own, np.zeros((2, 2 * STEPS + 2), np.int64))[:, STEPS - row.score] += (row.good, row.bad)
+    for name, (good, bad) in found.items():
+        step = choose(good, bad, risk, doubt / len(found))
+        if step is not None:
+            made.rejects[name] = STEPS - step - 1
+    return made
 
 
 def _names(ddl: str) -> list[str]:
@@ -166,21 +239,32 @@ def _stratum() -> Column:
     return F.coalesce(F.col("row.lang"), F.lit("")).alias("stratum")
 
 
+def _judged(counts: DataFrame, labels: DataFrame, risk: float, doubt: float) -> DataFrame:
+    """``counts`` with ``base_failed``, ``score``, ``cutoff`` and ``kept``."""
+    found = cutoffs(counts, labels, risk, doubt)
+    return counts.withColumn("at", _steps()).withColumns({"score": found.score(), "cutoff": found.cutoff()}).withColumns(
+        {"base_failed": base_failed(), "kept": found.kept(), "stratum": found.of()})
+
+
 def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """``doc_id``, the BASE counts, ``base_failed``, ``kept``, one row per row of ``docs``.
+    """``doc_id``, the BASE counts, ``base_failed``, ``kept``, ``stratum``, ``score``, ``cutoff``, one row per row of ``docs``.
 
-    Null, empty and blank texts count 0 of everything and fail the base rules. A null lang is a stratum of its
-    own; a stratum with too few labels to certify a cutoff is judged by the base rules alone. Null ids have no
-    label. Repeated rows each count and each get a row; empty tables give no rows, or no cutoffs. Other columns
-    are not read.
+    A document that passes the base rules is rejected if its score is at most the cutoff of its stratum; a null cutoff
+    rejects nothing. Null, empty and blank texts count 0 of everything and fail the base rules. A null lang is a
+    stratum of its own; strata with too few labels are judged together as POOL, and by the base rules alone
+    if those are too few as well. Null ids have no label. Repeated rows each count and each get a row; empty tables
+    give no rows, or no cutoffs. Texts of any length are measured whole. Other columns are not read.
     """
     counts = stored(measured(docs, ["doc_id", "lang"]).select("row.doc_id", _stratum(), *_names(f"{BASE}, {MORE}")))
-    found = cutoffs(counts, labels, risk, doubt)
-    return counts.select("doc_id", *_names(BASE), base_failed().alias("base_failed"), verdict(found).alias("kept"))
+    return _judged(counts, labels, risk, doubt).select(
+        "doc_id", *_names(BASE), "base_failed", "kept", "stratum", F.col("score").cast("int").alias("score"), "cutoff")
 
 
 def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """The rows of ``docs`` that :func:`quality` keeps, with their columns."""
-    counts = stored(measured(docs, ["doc_id", "lang"]).select("row.doc_id", _stratum(), *_names(f"{BASE}, {MORE}")))
-    found = cutoffs(counts, labels, risk, doubt)
-    return measured(docs, docs.columns).withColumn("stratum", _stratum()).where(verdict(found)).select("row.*")
+    """The rows of ``docs`` that :func:`quality` keeps, with their columns; cases as there.
+
+    Texts are measured once: the rows are written with their counts, and judged from there.
+    """
+    held = measured(docs, docs.columns).withColumn("stratum", _stratum()).withColumn("doc_id", F.col("row.doc_id"))
+    held = stored(held)
+    return _judged(held, labels, risk, doubt).where("kept").select("row.*")
