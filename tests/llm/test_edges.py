@@ -11,6 +11,12 @@ from cartwise.llm.common import _scopes, cleared, scratch
 
 from .conftest import ODD
 
+@pytest.fixture(autouse=True)
+def short_training(monkeypatch):
+    """What the taggers find is tested elsewhere."""
+    monkeypatch.setattr(pii, "STEPS", 5)
+
+
 LABELS = "doc_id long, quality int, toxic int"
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
