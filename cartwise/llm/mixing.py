@@ -247,7 +247,11 @@ def mix(docs: DataFrame, members: Column | None = None, share: float = SHARE, mo
 
 
 def mixed(docs: DataFrame, members: Column | None = None, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` as often as :func:`mix` takes them, with their columns."""
+    """The rows of ``docs`` as often as :func:`mix` takes them, with their columns, whatever those are called.
+
+    Null texts and texts without words have size 0 and are never taken; a null source is one of its own; repeated rows are
+    taken each on their own, by the hash of their id and text; an empty table gives no rows.
+    """
     rows = drawn(docs, F.array("source") if members is None else members, docs.columns, seed)
     plan = Mix(stored(rows.drop("row")), share, most)
     return plan.apply(rows).select("row", F.explode(F.array_repeat(F.lit(1), F.col("times").cast("int"))).alias("copy")).select("row.*")

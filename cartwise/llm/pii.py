@@ -547,7 +547,12 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask(docs: DataFrame, tagger: Tagger) -> DataFrame:
-    """The rows of ``docs`` with personal data in ``text`` replaced by its kind, and ``n_chars``, if there, counted anew."""
+    """The rows of ``docs`` with personal data in ``text`` replaced by its kind, and ``n_chars``, if there, counted anew.
+
+    Null text stays null and empty text empty, with their ``n_chars`` as they were; a null text's count is kept. Ids and
+    other columns are handed on, whatever they are called; each row gives one row, an empty table none; texts of any
+    length are masked whole.
+    """
     held = carried(docs, docs.columns)
     done = map_texts(held, with_row(held, "clean string"), _mask_kernel, tagger.weights)
     new = {"text": F.col("clean")}

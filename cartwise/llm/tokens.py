@@ -213,7 +213,9 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
 
     Documents are dealt by ranges of (doc_id, text hash), so an id that many rows share is split as well; null ids
     come first. A segment is a Parquet row: its place in its part, the ids and token counts of its documents, and the
-    packed codes. Null text counts as empty, a document of the end id alone.
+    packed codes. Null text counts as empty, a document of the end id alone. Repeated rows are documents each, in any
+    order among themselves; an empty table writes no segment; texts of any length are encoded whole and stay in one
+    segment; other columns are not read.
     """
     ship(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("tie"))
@@ -294,7 +296,8 @@ def _access_kernel():
 def tokens_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
     """``place``, ``token``: the id at each asked place of the whole sequence; places outside it give no row.
 
-    Places are matched to segments by blocks of SEGMENT places, of which a segment of usual size meets two.
+    Places are matched to segments by blocks of SEGMENT places, of which a segment of usual size meets two. A null place gives no row, one asked twice a single row, an empty table of places
+    or of documents none; other columns are not read.
     """
     rows = segments(spark, path)
     index = rows.select("part", "seq", "start", (F.col("start") + F.col("n_tokens")).alias("stop"))
