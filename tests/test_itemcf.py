@@ -8,6 +8,7 @@ from cartwise.operators import itemcf
 from cartwise.operators.itemcf import cooccurrence, item_cf
 from cartwise.operators.pairs import mirror, pairs_within
 from cartwise.operators.ranking import pack_recs, similarity_map, top_k, unpack_recs
+from plans import executed
 
 SCHEMA = "userId bigint, productId bigint, score double, timestamp bigint"
 
@@ -119,3 +120,22 @@ def test_mirror_and_map(spark):
                  swap=(("c1", "c2"),))
     assert sorted(map(tuple, sim.collect())) == [(1, 2, 0.5, 7, 8), (2, 1, 0.5, 8, 7)]
     assert {r["p1"]: r["similar"] for r in similarity_map(sim, 5).collect()} == {1: {2: 0.5}, 2: {1: 0.5}}
+
+
+def _counts(df):
+    return {(r["p1"], r["p2"]): (r["cocount"], r["count1"], r["count2"]) for r in df.collect()}
+
+
+def test_no_pair_is_shuffled(spark):
+    for df in (item_cf(_ratings(spark, _hot_user_sample()), k=5), cooccurrence(_ratings(spark, _hot_user_sample()))):
+        assert "Exchange" not in executed(df).split("MapInArrow")[0]  # nothing moves once pairs are made
+
+
+@pytest.mark.parametrize("chunk", [7, 512])
+def test_many_parts_and_spread_raters(spark, monkeypatch, chunk):
+    pairs = [(u, p - 40 if p % 2 else p + (1 << 45)) for u, p in _hot_user_sample(9)]
+    plain = _counts(cooccurrence(_ratings(spark, pairs)))
+    for name, value in (("PART_PAIRS", 90), ("SLICE_PAIRS", 50), ("RATERS", 6), ("USER_SLICE", 4)):
+        monkeypatch.setattr(itemcf, name, value)
+    assert _got(item_cf(_ratings(spark, pairs), k=5, chunk=chunk)) == _brute(pairs, 5)
+    assert _counts(cooccurrence(_ratings(spark, pairs), chunk=chunk)) == plain
