@@ -4,8 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cartwise.operators import products
 from cartwise.operators import factors
 from cartwise.operators.products import Catalogue
+from cartwise.plans import catalog
+from plans import executed
 
 SCHEMA = "userId int, productId int, score double, timestamp bigint"
 
@@ -152,3 +155,27 @@ def test_grid_search_picks_the_least_error(ratings):
     best = factors.best_parameters(grid).first()
     assert len(cells) == 4 and best["rmse"] == min(c["rmse"] for c in cells)
     assert best["reg"] == 0.01
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_neighbouring_blocks_share_a_task(spark, monkeypatch, repeated):
+    for name, value in (("MOST_SPANS", 3), ("MOST_PARTS", 2), ("SPAN_ROWS", 50), ("SCORES", 100)):
+        monkeypatch.setattr(products, name, value)
+    rng = np.random.default_rng(8)
+    items = {p: rng.integers(-2, 3, 3).astype(float) * (1 + p % 7) for p in range(120)}
+    users = {u: rng.integers(-2, 3, 3).astype(float) for u in range(30)}
+    rated = {(u, p) for u in users for p in items if rng.random() < 0.3}
+    pairs = spark.createDataFrame([*rated], "userId long, productId long")
+    rows = [(i, v.tolist()) for i, v in items.items()]
+    catalogue = Catalogue(spark.createDataFrame(rows, "productId long, features array<double>"), 4)
+    assert catalogue._merged() == 10
+    people = [(u, v.tolist()) for u, v in users.items()]
+    got = catalogue.top(spark.createDataFrame(people * (2 if repeated else 1), "userId long, features array<double>"), 5, 0.0, pairs, 1).collect()
+    if repeated:  # a user's rows each have a list
+        assert {(r.userId, r.rec_productId) for r in got} <= {(u, p) for u, p, _, _ in _plain_top(users, items, 5, 0.0, rated)}
+    else:
+        assert {(r.userId, r.rec_productId, r.score, r.rank) for r in got} == _plain_top(users, items, 5, 0.0, rated)
+
+
+def test_ratings_are_joined_once(spark):
+    assert "Join" not in executed(catalog._kept_ratings(spark, "/root/testdata/sf0.001"))
