@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cartwise.operators import alternating
 from cartwise.operators import products
 from cartwise.operators import factors
 from cartwise.operators.products import Catalogue
@@ -157,6 +158,49 @@ def test_grid_search_picks_the_least_error(ratings):
     assert best["reg"] == 0.01
 
 
+@pytest.mark.parametrize("block, least, gathered", [(1 << 20, 4, 1 << 18), (200, 1, 40)])
+def test_grid_trains_all_cells_in_the_stages_of_one_fit(ratings, monkeypatch, block, least, gathered):
+    for name, value in (("BLOCK_RATINGS", block), ("LEAST_BLOCKS", least), ("GATHERED", gathered), ("ROUND", 2)):
+        monkeypatch.setattr(alternating, name, value)
+    twice = ratings.unionByName(ratings.where("userId % 5 = 0")).unionByName(ratings.where("userId = 3").withColumn("userId", F.lit(99)).limit(1))
+    train, held = factors.split(twice)
+    cells = [(rank, reg) for rank in (2, 4, 25) for reg in (1.0, 0.05)]
+    own = {c: factors.rmse(factors._fit(train.toDF("user", "item", "score", "timestamp"), c[0], 5, c[1], 7).transform(
+        held.toDF("user", "item", "score", "timestamp"))).first()["rmse"] for c in cells}
+    fits, fit = [], factors._fit
+    monkeypatch.setattr(factors, "_fit", lambda train, rank, iterations, *more: fits.append((rank, iterations)) or fit(train, rank, iterations, *more))
+    found = {(r["rank"], r["reg"]): r["rmse"] for r in factors.tune_als(twice, (2, 4, 25), (1.0, 0.05), 5).collect()}
+    assert found == pytest.approx(own, rel=1e-4)
+    assert sorted(fits) == [(2, 0), (4, 0), (25, 0)]
+
+
+def test_grid_without_known_held_rows_and_with_empty_blocks(spark, ratings):
+    train = ratings.where("userId < 3").toDF("user", "item", "score", "timestamp")
+    start = {2: factors._fit(train, 2, 0, 0.0, 7).userFactors}
+    held = spark.createDataFrame([(1, 999, 3.0), (999, 1, 3.0), (1, 1, None)], "user int, item int, score double")
+    assert alternating.grid_errors(train, held, start, [(2, 0.1)], 1) == {(2, 0.1): None}
+
+
+@pytest.mark.parametrize("gathered", [1, 64, 1 << 18])
+def test_least_squares_of_few_and_many_ratings(monkeypatch, gathered):
+    monkeypatch.setattr(alternating, "GATHERED", gathered)
+    rng = np.random.default_rng(3)
+    source, counts = rng.normal(size=(30, 4)).astype(np.float32), np.array([1, 3, 4, 50, 3, 9])
+    index, scores = rng.integers(0, 30, counts.sum()).astype(np.int32), rng.random(counts.sum()).astype(np.float32)
+    found, at = alternating.solved(source, counts, index, scores, 0.1), 0
+    for row, n in zip(found, counts):
+        a, r = source[index[at:at + n]].astype(float), scores[at:at + n]
+        assert row == pytest.approx(np.linalg.solve(a.T @ a + 0.1 * n * np.eye(4), a.T @ r), rel=1e-5, abs=1e-6)
+        at += n
+
+
+def test_groups_of_models_have_the_largest_rank_at_most():
+    cells = [(rank, reg) for rank in (5, 10, 20, 50) for reg in (1.0, 0.1, 0.01)]
+    groups = alternating.packed_cells(cells)
+    assert sorted(c for g in groups for c in g) == sorted(cells) and len(groups) == 6
+    assert all(sum(rank for rank, _ in g) <= 50 for g in groups)
+
+
 @pytest.mark.parametrize("repeated", [False, True])
 def test_neighbouring_blocks_share_a_task(spark, monkeypatch, repeated):
     for name, value in (("MOST_SPANS", 3), ("MOST_PARTS", 2), ("SPAN_ROWS", 50), ("SCORES", 100)):
