@@ -65,7 +65,9 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     A fingerprint is two segments of 32 bits; of two that differ in at most 3 bits, one segment differs in at
     most 1. Each segment is a table; a fingerprint looks up its own segment and the 32 one bit away. A pair one
-    bit apart is met from both sides, so only the side whose bit is 0 looks, which halves the probes.
+    bit apart is met from both sides, so only the side whose bit is 0 looks, which halves the probes. The two are
+    shuffled: Spark takes the probes, a score for each fingerprint, to be no larger than the stored table they
+    unfold from, and would send them through the driver.
     """
     if not 0 <= radius <= 3:
         raise ValueError("two segments and a ball of one bit find pairs of up to 3 bits")
@@ -86,7 +88,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         table = rows if table is None else table.union(rows)
         probe = looks if probe is None else probe.union(looks)
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return probe.join(table, ["seg", "key"]).where((F.col("a") != F.col("b")) & (apart <= radius)).select("a", "b")
+    return probe.hint("merge").join(table, ["seg", "key"]).where((F.col("a") != F.col("b")) & (apart <= radius)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

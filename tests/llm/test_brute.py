@@ -11,11 +11,13 @@ import public_tokenizers
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cartwise.llm import bpe, langid, lattice, mixing, pii, repeats, rules, simhash, tokens
-from cartwise.llm.common import scratch, table
+from cartwise.llm.common import scratch, stored, table
 from cartwise.llm.queries import QUERIES
+from plans import executed
 
 FOLDER = "/root/testdata/sf0.001"
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -343,6 +345,13 @@ def test_links_of_planted_distances(spark):
     assert got == want
 
 
+def test_probes_are_not_broadcast(spark):
+    fps = stored(spark.range(1000).select(F.xxhash64("id").alias("fp")))
+    made = simhash.links(fps)
+    made.collect()
+    assert "Broadcast" not in executed(made) and "SortMergeJoin" in executed(made)
+
+
 def test_long_chains_are_one_component(spark):
     from cartwise.llm.graph import components
 
