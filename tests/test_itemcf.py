@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwise.operators import itemcf
 from cartwise.operators.itemcf import cooccurrence, item_cf
@@ -139,3 +140,26 @@ def test_many_parts_and_spread_raters(spark, monkeypatch, chunk):
         monkeypatch.setattr(itemcf, name, value)
     assert _got(item_cf(_ratings(spark, pairs), k=5, chunk=chunk)) == _brute(pairs, 5)
     assert _counts(cooccurrence(_ratings(spark, pairs), chunk=chunk)) == plain
+
+
+@pytest.mark.parametrize("far", [0, 1 << 31, (1 << 62) + 5])
+def test_parts_that_take_turns_give_the_same(spark, monkeypatch, far):
+    pairs = [(u, p - far if p % 3 else p + far) for u, p in _hot_user_sample(9)]
+    plain = _counts(cooccurrence(_ratings(spark, pairs)))
+    for name, value in (("PART_PAIRS", 90), ("SLICE_PAIRS", 50), ("ROUND_PAIRS", 4000), ("DENSE_IDS", 50 if far else 1 << 20)):
+        monkeypatch.setattr(itemcf, name, value)
+    made = item_cf(_ratings(spark, pairs), k=5)
+    assert executed(made).count("Scan parquet") > 1
+    assert _got(made) == _brute(pairs, 5)
+    assert _counts(cooccurrence(_ratings(spark, pairs))) == plain
+
+
+def test_what_a_stored_table_shuffled_is_deleted(spark):
+    from cartwise.sources.scratch import stored
+
+    def kept():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before = kept()
+    table = stored(spark.range(1000).groupBy(F.col("id") % 7).count())
+    assert kept() == before and table.count() == 7
