@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -223,3 +224,26 @@ def test_neighbouring_blocks_share_a_task(spark, monkeypatch, repeated):
 
 def test_ratings_are_joined_once(spark):
     assert "Join" not in executed(catalog._kept_ratings(spark, "/root/testdata/sf0.001"))
+
+
+def test_grid_in_turns_keeps_the_last_states_alone(ratings, monkeypatch):
+    kept, write = [], alternating.RDD.saveAsPickleFile
+
+    def counted(rdd, path, *rest):
+        write(rdd, path, *rest)
+        home = os.path.dirname(path).removeprefix("file://")
+        kept.append(sum(name.startswith("factors-") for name in os.listdir(home)))
+
+    cells = (2, 4, 25), (1.0, 0.05), 3
+    plain = {(r["rank"], r["reg"]): r["rmse"] for r in factors.tune_als(ratings, *cells).collect()}
+    monkeypatch.setattr(alternating.RDD, "saveAsPickleFile", counted)
+    monkeypatch.setattr(alternating, "ALIVE", 1)
+    found = {(r["rank"], r["reg"]): r["rmse"] for r in factors.tune_als(ratings, *cells).collect()}
+    assert found == {cell: pytest.approx(error, abs=1e-6) for cell, error in plain.items()}
+    groups = len(alternating.packed_cells([(rank, reg) for rank in cells[0] for reg in cells[1]]))
+    assert len(kept) == groups * 2 * 3 and max(kept) - min(kept) <= 2
+    assert alternating.shares(10 ** 12, 6) == (1, 1)
+
+
+def test_grid_of_small_tables_trains_all_at_once():
+    assert alternating.shares(1 << 20, 6) == (6, alternating.ROUND) and alternating.shares(1 << 28, 6) == (2, 1)
