@@ -247,3 +247,15 @@ def test_grid_in_turns_keeps_the_last_states_alone(ratings, monkeypatch):
 
 def test_grid_of_small_tables_trains_all_at_once():
     assert alternating.shares(1 << 20, 6) == (6, alternating.ROUND) and alternating.shares(1 << 28, 6) == (2, 1)
+
+
+def test_training_deletes_what_it_shuffled(spark, ratings):
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+    rows, before = factors.coded(ratings).ratings, shuffles()
+    model = factors._fit(rows, 2, 10, 0.1, 7)
+    assert len(shuffles() - before) < 20  # two for each iteration, and those of the blocks
+    assert model.userFactors.count() == 40
